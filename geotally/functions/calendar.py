@@ -53,6 +53,12 @@ def hour_of_text(time_text: ColumnOrName, pattern: str = "HH:mm:ss") -> Column:
     return F.hour(F.to_timestamp_ntz(as_column(time_text), F.lit(pattern))).cast("bigint")
 
 
+def date_of_millis(millis: ColumnOrName) -> Column:
+    """UTC date of a number of milliseconds since 1970."""
+    days = F.floor(as_column(millis) / F.lit(86_400_000)).cast("int")
+    return F.date_from_unix_date(days)
+
+
 def day_phase(hour: ColumnOrName) -> Column:
     """Phase label of an hour; hours outside 0 to 23 and null hours are ``Unknown``."""
     hour = as_column(hour)

@@ -23,6 +23,9 @@ from geotally.operators.clean import drop_any_null, insertion_stamp
 
 FOLDS = 5
 SMOOTHING = 10.0
+# Fitting reads its rows many times. What does not fit in memory goes to disk, and what an executor
+# takes with it is computed again.
+KEPT = StorageLevel.MEMORY_AND_DISK
 
 
 @dataclass(frozen=True)
@@ -97,43 +100,54 @@ def _fold(df: DataFrame, series: Series) -> DataFrame:
     return df.withColumn("_fold", F.pmod(F.xxhash64(series.key, series.date, series.label), F.lit(FOLDS)))
 
 
-def _category_sums(train: DataFrame, category: str, label: str) -> DataFrame:
-    """Label sum and count of each category value, as one array entry per fold."""
+@dataclass(frozen=True)
+class CategoryMeans:
+    """Label sums per category value, and the overall mean that rare values lean towards."""
+
+    prior: float
+    sums: Mapping[str, DataFrame]
+
+
+def category_means(train: DataFrame, series: Series) -> CategoryMeans:
+    """Label sum and count of each category value, as one array entry per fold.
+
+    They stay tables that are joined, not lists on the driver, because the number of locations
+    grows with the data; only the overall mean is fetched.
+    """
     in_fold = [F.col("_fold") == i for i in range(FOLDS)]
-    return train.groupBy(category).agg(
-        F.array(*[F.coalesce(F.sum(F.when(f, F.col(label))), F.lit(0.0)) for f in in_fold]).alias("_sums"),
-        F.array(*[F.count_if(f) for f in in_fold]).alias("_counts"),
-    )
+    sums = F.array(*[F.coalesce(F.sum(F.when(f, F.col(series.label))), F.lit(0.0)) for f in in_fold])
+    counts = F.array(*[F.count_if(f) for f in in_fold])
+    tables = {
+        c: train.groupBy(F.col(c).alias("_category")).agg(sums.alias("_sums"), counts.alias("_counts"))
+        for c in series.categories
+    }
+    prior = train.agg(F.avg(series.label)).first()[0]
+    if prior is None:
+        raise ValueError("no complete rows to learn from")
+    return CategoryMeans(prior, tables)
 
 
-def encode_categories(rows: DataFrame, train: DataFrame, series: Series) -> DataFrame:
-    """Replace each category by the smoothed mean label of its value in ``train``.
+def encode_categories(rows: DataFrame, means: CategoryMeans) -> DataFrame:
+    """Add the smoothed mean label of each category's value.
 
     Rows with a ``_fold`` are training rows and leave their own fold out, so that a row does not
-    see its own label. The means stay a table that is joined, not a list on the driver, because
-    the number of locations grows with the data.
+    see its own label. Values not seen in training get the overall mean.
     """
-    prior = train.select(F.avg(series.label).alias("_prior")).scalar()
-    folded = "_fold" in rows.columns
-    for category in series.categories:
-        sums = _category_sums(train, category, series.label).withColumnRenamed(category, "_category")
-        rows = rows.join(sums, F.col(category) == F.col("_category"), "left")
-        total = F.aggregate("_sums", F.lit(0.0), lambda a, x: a + x)
-        count = F.aggregate("_counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
-        if folded:
-            own = F.col("_fold").cast("int")
-            total, count = total - F.get("_sums", own), count - F.get("_counts", own)
-        mean = (total + F.lit(SMOOTHING) * F.col("_prior")) / (count + F.lit(SMOOTHING))
-        rows = (
-            rows.withColumn("_prior", prior)
-            .withColumn(f"{category}_mean", F.coalesce(mean, F.col("_prior")))
-            .drop("_category", "_sums", "_counts", "_prior")
-        )
+    prior = F.lit(means.prior)
+    total = F.aggregate("_sums", F.lit(0.0), lambda a, x: a + x)
+    count = F.aggregate("_counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    if "_fold" in rows.columns:
+        own = F.col("_fold").cast("int")
+        total, count = total - F.get("_sums", own), count - F.get("_counts", own)
+    mean = (total + F.lit(SMOOTHING) * prior) / (count + F.lit(SMOOTHING))
+    for category, sums in means.sums.items():
+        joined = rows.join(sums, F.col(category) == F.col("_category"), "left")
+        rows = joined.withColumn(f"{category}_mean", F.coalesce(mean, prior)).drop("_category", "_sums", "_counts")
     return rows
 
 
-def _vectors(rows: DataFrame, train: DataFrame, series: Series, date_column: str) -> DataFrame:
-    encoded = encode_categories(rows, train, series).withColumn(
+def _vectors(rows: DataFrame, means: CategoryMeans, series: Series, date_column: str) -> DataFrame:
+    encoded = encode_categories(rows, means).withColumn(
         "_day", F.unix_date(F.col(date_column).cast("date")).cast("double")
     )
     inputs = [f"{c}_mean" for c in series.categories] + list(series.numbers) + ["_day"]
@@ -146,21 +160,19 @@ def candidates(label: str, seed: int) -> dict[str, Estimator]:
     return {
         "linear": LinearRegression(regParam=0.01, **common),
         "forest": RandomForestRegressor(numTrees=20, maxDepth=6, seed=seed, **common),
-        "boosted": GBTRegressor(maxIter=20, maxDepth=4, seed=seed, **common),
+        "boosted": GBTRegressor(maxIter=10, maxDepth=4, seed=seed, **common),
     }
 
 
 def _split_by_date(rows: DataFrame, series: Series, newest_share: float) -> tuple[DataFrame, DataFrame]:
     """(older, newest) rows; by fold when all rows have the same date."""
     day = F.unix_date(F.col(series.date).cast("date"))
-    cut, last = rows.select(F.percentile_approx(day, 1 - newest_share, 1000), F.max(day)).first()
+    cut, first, last = rows.select(F.percentile_approx(day, 1 - newest_share, 1000), F.min(day), F.max(day)).first()
     if cut is None:
         raise ValueError("no complete rows to learn from")
-    if cut == last:
-        first = rows.select(F.min(day)).first()[0]
-        if first == last:
-            return rows.where(F.col("_fold") > 0), rows.where(F.col("_fold") == 0)
-        cut = last - 1
+    if first == last:
+        return rows.where(F.col("_fold") > 0), rows.where(F.col("_fold") == 0)
+    cut = min(cut, last - 1)
     return rows.where(day <= cut), rows.where(day > cut)
 
 
@@ -169,8 +181,9 @@ def compare_models(
 ) -> list[tuple[str, float, float]]:
     """(model, held-out RMSE, seconds), best first. The newest dates are held out."""
     older, newest = _split_by_date(rows, series, newest_share)
-    train = _vectors(older, older, series, series.date).persist(StorageLevel.MEMORY_AND_DISK)
-    test = _vectors(newest.drop("_fold"), older, series, series.date).persist(StorageLevel.MEMORY_AND_DISK)
+    means = category_means(older, series)
+    inputs = [_vectors(part, means, series, series.date) for part in (older, newest.drop("_fold"))]
+    train, test = (part.select("_features", series.label).persist(KEPT) for part in inputs)
     evaluator = RegressionEvaluator(labelCol=series.label, predictionCol="_predicted", metricName="rmse")
     begun, results = time.monotonic(), []
     try:
@@ -194,17 +207,41 @@ def _training_rows(df: DataFrame, series: Series) -> DataFrame:
     return _fold(rows, series)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores and kept for the fits.
+
+    Few input files would otherwise leave most cores idle in every pass. Rows are dealt out in
+    turn, so copies of a row do not meet in one task.
+    """
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(tasks).persist(KEPT)
+
+
 def forecast_leaderboard(df: DataFrame, series: Series, settings: ForecastSettings | None = None) -> DataFrame:
     """Models by held-out error."""
-    results = compare_models(_training_rows(df, series), series, settings or ForecastSettings())
+    rows = _spread(_training_rows(df, series))
+    try:
+        results = compare_models(rows, series, settings or ForecastSettings())
+    finally:
+        rows.unpersist()
     ranked = [(rank, name, rmse, seconds) for rank, (name, rmse, seconds) in enumerate(results, 1)]
     return df.sparkSession.createDataFrame(ranked, "rank int, model string, rmse double, seconds double")
 
 
 def fit_leader(rows: DataFrame, series: Series, settings: ForecastSettings) -> Model:
     """Best model of the comparison, fitted again on all rows."""
-    leader = compare_models(rows, series, settings)[0][0]
-    return candidates(series.label, settings.seed)[leader].fit(_vectors(rows, rows, series, series.date))
+    kept = _spread(rows)
+    try:
+        leader = compare_models(kept, series, settings)[0][0]
+        vectors = _vectors(kept, category_means(kept, series), series, series.date)
+        train = vectors.select("_features", series.label).persist(KEPT)
+        try:
+            return candidates(series.label, settings.seed)[leader].fit(train)
+        finally:
+            train.unpersist()
+    finally:
+        kept.unpersist()
 
 
 def forecast_volume(
@@ -219,7 +256,7 @@ def forecast_volume(
     rows = _training_rows(df, series)
     model = fit_leader(rows, series, settings)
     grid = horizon_grid(rows, series.key, series.date, series.attributes, settings.frequency, settings.horizon)
-    scored = model.transform(_vectors(grid, rows, series, "future_date"))
+    scored = model.transform(_vectors(grid, category_means(rows, series), series, "future_date"))
     result = scored.select(
         series.key, *series.attributes, "future_date", rounded("_predicted", "bigint").alias(predicted)
     )

@@ -327,6 +327,12 @@ def ingest_latency(t: Tables) -> DataFrame:
     )
 
 
+@query("SELECT event_id, cast(ts AS date) AS day FROM events")
+def millis_to_date(t: Tables) -> DataFrame:
+    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    return t("events").select("event_id", cal.date_of_millis(millis).alias("day"))
+
+
 # Means.
 
 
@@ -657,24 +663,48 @@ def point_layer(t: Tables) -> DataFrame:
     )
 
 
-@query()
-def point_hex(t: Tables) -> DataFrame:
-    places = t("customer").select("c_custkey", geo.point(longitude_of("c_custkey"), latitude_of("c_custkey")).alias("p"))
-    return places.select("c_custkey", geo.ewkb_hex("p").alias("geom_hex"))
+def sql_double_hex(value: str) -> str:
+    """Hex of a double's eight bytes, lowest first, from its sign, exponent and fraction."""
+    exponent = f"cast(floor(log2(abs({value}))) AS int)"
+    fraction = f"cast((abs({value}) / pow(2, {exponent}) - 1) * pow(2, 52) AS ubigint)"
+    sign = f"CASE WHEN {value} < 0 THEN 9223372036854775808::ubigint ELSE 0::ubigint END"
+    bits = f"{sign} + cast({exponent} + 1023 AS ubigint) * 4503599627370496::ubigint + {fraction}"
+    return f"(SELECT string_agg(substr(h, 15 - 2 * i, 2), '' ORDER BY i) FROM (SELECT upper(hex({bits})) AS h), range(8) r(i))"
 
 
-def latitude_of(key: str):
-    return inputs.latitude(key)
+@query(
+    f"""SELECT c_custkey, '0101000020E6100000' || {sql_double_hex('longitude')} || {sql_double_hex('latitude')} AS geom_hex
+    FROM (SELECT c_custkey, {sql_position('c_custkey')} FROM customer)"""
+)
+def point_hex(t: Tables) -> DataFrame:
+    places = t("customer").select("c_custkey", geo.point(inputs.longitude("c_custkey"), inputs.latitude("c_custkey")).alias("p"))
+    return places.select("c_custkey", geo.ewkb_hex("p").alias("geom_hex"))
 
 
-def longitude_of(key: str):
-    return inputs.longitude(key)
+def sql_utm() -> str:
+    """Transverse Mercator of degrees around 81 degrees west, by the Krueger series."""
+    n = "0.0016792203946287446"
+    e = "0.08181919104281579"
+    alphas = (
+        f"({n} / 2 - 2 * pow({n}, 2) / 3 + 5 * pow({n}, 3) / 16)",
+        f"(13 * pow({n}, 2) / 48 - 3 * pow({n}, 3) / 5)",
+        f"(61 * pow({n}, 3) / 240)",
+    )
+    east = " + ".join(f"{a} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(alphas, 1))
+    north = " + ".join(f"{a} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(alphas, 1))
+    radius = f"(6378137.0 / (1 + {n}) * (1 + pow({n}, 2) / 4 + pow({n}, 4) / 64) * 0.9996)"
+    return f"""WITH angles AS (SELECT *, radians(latitude) AS phi, radians(longitude + 81) AS lam FROM ({SQL_COUNTS})),
+        spheres AS (SELECT *, sinh(atanh(sin(phi)) - {e} * atanh({e} * sin(phi))) AS t FROM angles),
+        plane AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM spheres)
+        SELECT objectid, latitude, longitude, round(500000 + {radius} * (eta + {east}), 3) AS x,
+        round({radius} * (xi + {north}), 3) AS y, 26917 AS srid FROM plane"""
 
 
-@query()
+@query(sql_utm())
 def utm_project(t: Tables) -> DataFrame:
     places = geo.add_point(inputs.intersections(t)).withColumn("utm", geo.to_utm17("geom"))
-    return places.select("objectid", "latitude", "longitude", "utm.x", "utm.y", "utm.srid")
+    metres = [F.round(f"utm.{axis}", 3).alias(axis) for axis in ("x", "y")]
+    return places.select("objectid", "latitude", "longitude", *metres, "utm.srid")
 
 
 @query(

@@ -11,6 +11,7 @@ from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo,
 from geotally.plans.settings import JobSettings
 from geotally.sinks import tables as sink
 from geotally.sources import staging
+from geotally.sources.files import list_files
 from geotally.sources.tables import catalog_tables
 
 STATION_KEYS = ("cgndb_id", "latitude", "longitude")
@@ -55,8 +56,8 @@ class Warehouse:
     def public(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.settings.public_schema}.{name}")
 
-    def _refresh(self, phase: str, schema: str, name: str, df: DataFrame, partition_by=()) -> DataFrame:
-        with self.log.step(phase, name):
+    def _refresh(self, phase: str, schema: str, name: str, df: DataFrame, partition_by=(), files: int = 1) -> DataFrame:
+        with self.log.step(phase, name, files):
             return sink.replace_table(df, f"{schema}.{name}", self.settings.table_root, partition_by)
 
     def _produce(self, name: str, df: DataFrame, partition_by=(), stamped: bool = True) -> DataFrame:
@@ -65,23 +66,18 @@ class Warehouse:
 
     def build_staging(self) -> None:
         s, spark, link = self.settings, self.spark, self.settings.links
-        readers = {
-            "stg_monthly_air_data": lambda: staging.stage_air_wide(spark, s.landing["air"], s.as_of, link.get("air", "")),
-            "stg_monthly_forecasts": lambda: staging.stage_forecasts(
-                spark, s.landing["forecasts"], s.as_of, link.get("forecasts", "")
-            ),
-            "stg_traffic_volume": lambda: staging.stage_traffic_volume(
-                spark, s.landing["traffic_volume"], s.as_of, link.get("traffic_volume", "")
-            ),
-            "stg_geo_names": lambda: staging.stage_geo_names(
-                spark, s.landing["geo_names"], s.as_of, link.get("geo_names", "")
-            ),
-            "stg_gta_traffic_arcgis": lambda: staging.stage_intersection_counts(
-                spark, s.landing["intersections"], s.as_of, link.get("intersections", "")
-            ),
-        }
-        for name, read in readers.items():
-            self._refresh("stage", s.stage_schema, name, read())
+        readers = (
+            ("stg_monthly_air_data", "air", staging.stage_air_wide),
+            ("stg_monthly_forecasts", "forecasts", staging.stage_forecasts),
+            ("stg_traffic_volume", "traffic_volume", staging.stage_traffic_volume),
+            ("stg_geo_names", "geo_names", staging.stage_geo_names),
+            ("stg_gta_traffic_arcgis", "intersections", staging.stage_intersection_counts),
+        )
+        for name, dataset, read in readers:
+            folder = s.landing[dataset]
+            landed = list_files(spark, folder).count()
+            staged = read(spark, folder, s.as_of, link.get(dataset, ""))
+            self._refresh("stage", s.stage_schema, name, staged, files=landed)
         long = reshape.unpivot_stations(self.stage("stg_monthly_air_data"))
         self._refresh("stage", s.stage_schema, "stg_monthly_air_data_transpose", long)
 
@@ -195,10 +191,18 @@ class Warehouse:
         return sink.replace_table(latest, name, self.settings.table_root)
 
     def export(self) -> None:
-        """Text copies of all public tables. The loop is over table names; each copy is a Spark write."""
+        """Text copies of all public tables, and of the marker layers as GeoJSON.
+
+        The loops are over table names; each copy is a Spark write.
+        """
         names = catalog_tables(self.spark, self.settings.public_schema, not_in=fixed.EXPORT_SKIPS)
         folder = self.settings.export_folder
-        sink.export_tables(self.spark, self.settings.public_schema, [r[0] for r in names.collect()], folder)
+        names = [r[0] for r in names.collect()]
+        sink.export_tables(self.spark, self.settings.public_schema, names, folder)
+        for name in names:
+            if name.startswith("layer_") and name.endswith("_markers"):
+                features = layers.geojson_features(self.public(name), ["marker_class", "popup"])
+                sink.write_features(features, f"{folder.rstrip('/')}/geojson/{name}")
 
     def run(self) -> DataFrame:
         if self.settings.create_tables:

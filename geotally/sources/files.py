@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -84,20 +85,22 @@ def read_drifting(
 
     ``ids`` are the columns all files share; every other column is a value of ``value_type``. Tasks
     read the first line of each file; each distinct header becomes one scan, so the plan has as
-    many scans as there are headers, not files. Only file names, which the driver lists anyway, and
-    header lines come to the driver.
+    many scans as there are headers, not files. Only file names, which the driver lists anyway to
+    plan a scan, and header lines come to the driver.
     """
-    files = list_files(spark, path, pattern).select("path")
-    headers = files.mapInPandas(_first_lines, "path string, header string")
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header")
+    listed = list_files(spark, path, pattern).select("path")
+    headers = listed.mapInPandas(_first_lines, "path string, header string").where("header <> ''")
+    same_header: dict[str, list[str]] = {}
+    for file, header in headers.collect():
+        same_header.setdefault(header, []).append(file)
+    if not same_header:
+        raise FileNotFoundError(f"no {pattern} files with a header in {path}")
     known = {f.name: f.dataType for f in ids.fields}
     frames = []
-    for header, paths in groups.collect():
-        names = [name.strip().strip('"') for name in header.split(sep)]
-        fields = [StructField(n, known[n]) if n in known else StructField(n, value_type) for n in names]
-        frames.append(read_delimited(spark, paths, StructType(fields), sep))
-    if not frames:
-        raise FileNotFoundError(f"no {pattern} files in {path}")
+    for header in sorted(same_header):
+        names = next(csv.reader([header], delimiter=sep))
+        schema = StructType([StructField(n, known.get(n, value_type)) for n in names])
+        frames.append(read_delimited(spark, sorted(same_header[header]), schema, sep))
     return union_by_name(frames)
 
 

@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
         "tests",
         master="local[4]",
         spark__sql__shuffle__partitions="8",
-        spark__ui__enabled="false",
+        spark__ui__enabled="false",spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(warehouse),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="4g",

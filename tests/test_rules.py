@@ -210,6 +210,12 @@ def test_text_helpers(spark):
     assert one(spark, text.label_text(("A", F.lit(1)), ("B", F.lit(None)))) == "A: 1; B: "
 
 
+def test_date_of_millis(spark):
+    assert one(spark, cal.date_of_millis(F.lit(1_704_067_199_999))) == dt.date(2023, 12, 31)
+    assert one(spark, cal.date_of_millis(F.lit(1_704_067_200_000))) == dt.date(2024, 1, 1)
+    assert one(spark, cal.date_of_millis(F.lit(-1))) == dt.date(1969, 12, 31)
+
+
 def test_hour_of_time_text(spark):
     assert one(spark, cal.hour_of_text(F.lit("17:05:09"))) == 17
     assert one(spark, cal.hour_of_text(F.lit(None).cast("string"))) is None
