@@ -36,6 +36,9 @@ class ForecastSettings:
     frequency: str = "Daily"
     budget_seconds: int = 240
     seed: int = 17
+    forest_trees: int = 12
+    boosting_rounds: int = 6
+    tree_depth: int = 4
 
     def __post_init__(self) -> None:
         if self.horizon < 1:
@@ -64,23 +67,19 @@ class Series:
         return [c for c in (*self.categories, *self.numbers) if c != self.key]
 
 
-def horizon_grid(
+def future_locations(
     df: DataFrame,
     key: str,
     date_column: str,
     attributes: Sequence[str],
-    frequency: str = "Daily",
-    horizon: int = 30,
     start: date | None = None,
     table_wide: Sequence[str] = (),
 ) -> DataFrame:
-    """Every location with each of its future dates, and the attributes of its first row by date.
+    """Every location with the attributes of its first row by date, and ``_first``, the first future date.
 
-    Dates begin ``FORECAST_GAP_YEARS`` after the newest date of the whole table unless ``start`` is
+    That date is ``FORECAST_GAP_YEARS`` after the newest date of the whole table unless ``start`` is
     given. Attributes named in ``table_wide`` take the value of the table's first row instead.
-    The dates come from a sequence within each row, so no join multiplies the locations.
     """
-    code, _ = cal.parse_frequency(frequency)
     locations = first_attr_per_key(df, [key], attributes, [date_column])
     if table_wide:
         shared = df.orderBy(date_column, key).limit(1)
@@ -90,9 +89,29 @@ def horizon_grid(
         first = F.add_months(newest, 12 * FORECAST_GAP_YEARS)
     else:
         first = F.lit(start).cast("date")
-    dated = locations.withColumn("_first", first)
-    return dated.select(
-        key, *attributes, F.explode(cal.date_series("_first", code, horizon)).alias("future_date")
+    return locations.withColumn("_first", first)
+
+
+def with_future_dates(locations: DataFrame, frequency: str, horizon: int) -> DataFrame:
+    """Each location once per future date; a sequence within the row, not a join with the dates."""
+    code, _ = cal.parse_frequency(frequency)
+    kept = [c for c in locations.columns if c != "_first"]
+    return locations.select(*kept, F.explode(cal.date_series("_first", code, horizon)).alias("future_date"))
+
+
+def horizon_grid(
+    df: DataFrame,
+    key: str,
+    date_column: str,
+    attributes: Sequence[str],
+    frequency: str = "Daily",
+    horizon: int = 30,
+    start: date | None = None,
+    table_wide: Sequence[str] = (),
+) -> DataFrame:
+    """Every location with each of its future dates; see :func:`future_locations`."""
+    return with_future_dates(
+        future_locations(df, key, date_column, attributes, start, table_wide), frequency, horizon
     )
 
 
@@ -114,11 +133,13 @@ def category_means(train: DataFrame, series: Series) -> CategoryMeans:
     They stay tables that are joined, not lists on the driver, because the number of locations
     grows with the data; only the overall mean is fetched.
     """
+    label = F.col(series.label)
     in_fold = [F.col("_fold") == i for i in range(FOLDS)]
-    sums = F.array(*[F.coalesce(F.sum(F.when(f, F.col(series.label))), F.lit(0.0)) for f in in_fold])
+    sums = F.array(*[F.coalesce(F.sum(F.when(f, label)), F.lit(0.0)) for f in in_fold])
     counts = F.array(*[F.count_if(f) for f in in_fold])
+    measures = {"_total": F.sum(label), "_rows": F.count(label), "_sums": sums, "_counts": counts}
     tables = {
-        c: train.groupBy(F.col(c).alias("_category")).agg(sums.alias("_sums"), counts.alias("_counts"))
+        c: train.groupBy(F.col(c).alias("_category")).agg(*[m.alias(name) for name, m in measures.items()])
         for c in series.categories
     }
     prior = train.agg(F.avg(series.label)).first()[0]
@@ -134,33 +155,38 @@ def encode_categories(rows: DataFrame, means: CategoryMeans) -> DataFrame:
     see its own label. Values not seen in training get the overall mean.
     """
     prior = F.lit(means.prior)
-    total = F.aggregate("_sums", F.lit(0.0), lambda a, x: a + x)
-    count = F.aggregate("_counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    total, count = F.col("_total"), F.col("_rows")
+    helpers = ["_category", "_total", "_rows"]
     if "_fold" in rows.columns:
         own = F.col("_fold").cast("int")
         total, count = total - F.get("_sums", own), count - F.get("_counts", own)
+        helpers += ["_sums", "_counts"]
     mean = (total + F.lit(SMOOTHING) * prior) / (count + F.lit(SMOOTHING))
     for category, sums in means.sums.items():
-        joined = rows.join(sums, F.col(category) == F.col("_category"), "left")
-        rows = joined.withColumn(f"{category}_mean", F.coalesce(mean, prior)).drop("_category", "_sums", "_counts")
+        needed = sums if "_sums" in helpers else sums.drop("_sums", "_counts")
+        joined = rows.join(needed, F.col(category) == F.col("_category"), "left")
+        rows = joined.withColumn(f"{category}_mean", F.coalesce(mean, prior)).drop(*helpers)
     return rows
 
 
-def _vectors(rows: DataFrame, means: CategoryMeans, series: Series, date_column: str) -> DataFrame:
-    encoded = encode_categories(rows, means).withColumn(
-        "_day", F.unix_date(F.col(date_column).cast("date")).cast("double")
-    )
+def _assemble(encoded: DataFrame, series: Series, date_column: str) -> DataFrame:
+    dated = encoded.withColumn("_day", F.unix_date(F.col(date_column).cast("date")).cast("double"))
     inputs = [f"{c}_mean" for c in series.categories] + list(series.numbers) + ["_day"]
-    return VectorAssembler(inputCols=inputs, outputCol="_features").transform(encoded)
+    return VectorAssembler(inputCols=inputs, outputCol="_features").transform(dated)
+
+
+def _vectors(rows: DataFrame, means: CategoryMeans, series: Series) -> DataFrame:
+    return _assemble(encode_categories(rows, means), series, series.date).select("_features", series.label)
 
 
-def candidates(label: str, seed: int) -> dict[str, Estimator]:
+def candidates(label: str, settings: ForecastSettings) -> dict[str, Estimator]:
     """Models to try. The linear one is there because trees are flat beyond the last date."""
     common = {"featuresCol": "_features", "labelCol": label, "predictionCol": "_predicted"}
+    trees = {"maxDepth": settings.tree_depth, "seed": settings.seed, **common}
     return {
         "linear": LinearRegression(regParam=0.01, **common),
-        "forest": RandomForestRegressor(numTrees=20, maxDepth=6, seed=seed, **common),
-        "boosted": GBTRegressor(maxIter=10, maxDepth=4, seed=seed, **common),
+        "forest": RandomForestRegressor(numTrees=settings.forest_trees, **trees),
+        "boosted": GBTRegressor(maxIter=settings.boosting_rounds, stepSize=0.3, **trees),
     }
 
 
@@ -182,12 +208,11 @@ def compare_models(
     """(model, held-out RMSE, seconds), best first. The newest dates are held out."""
     older, newest = _split_by_date(rows, series, newest_share)
     means = category_means(older, series)
-    inputs = [_vectors(part, means, series, series.date) for part in (older, newest.drop("_fold"))]
-    train, test = (part.select("_features", series.label).persist(KEPT) for part in inputs)
+    train, test = (_vectors(part, means, series).persist(KEPT) for part in (older, newest.drop("_fold")))
     evaluator = RegressionEvaluator(labelCol=series.label, predictionCol="_predicted", metricName="rmse")
     begun, results = time.monotonic(), []
     try:
-        for name, estimator in candidates(series.label, settings.seed).items():
+        for name, estimator in candidates(series.label, settings).items():
             if results and settings.budget_seconds and time.monotonic() - begun > settings.budget_seconds:
                 break
             clock = time.monotonic()
@@ -234,10 +259,9 @@ def fit_leader(rows: DataFrame, series: Series, settings: ForecastSettings) -> M
     kept = _spread(rows)
     try:
         leader = compare_models(kept, series, settings)[0][0]
-        vectors = _vectors(kept, category_means(kept, series), series, series.date)
-        train = vectors.select("_features", series.label).persist(KEPT)
+        train = _vectors(kept, category_means(kept, series), series).persist(KEPT)
         try:
-            return candidates(series.label, settings.seed)[leader].fit(train)
+            return candidates(series.label, settings)[leader].fit(train)
         finally:
             train.unpersist()
     finally:
@@ -255,8 +279,11 @@ def forecast_volume(
     settings = settings or ForecastSettings()
     rows = _training_rows(df, series)
     model = fit_leader(rows, series, settings)
-    grid = horizon_grid(rows, series.key, series.date, series.attributes, settings.frequency, settings.horizon)
-    scored = model.transform(_vectors(grid, category_means(rows, series), series, "future_date"))
+    locations = future_locations(rows, series.key, series.date, series.attributes)
+    # Categories do not change over time: they are looked up once per location, before the dates.
+    encoded = encode_categories(locations, category_means(rows, series))
+    grid = with_future_dates(encoded, settings.frequency, settings.horizon)
+    scored = model.transform(_assemble(grid, series, "future_date"))
     result = scored.select(
         series.key, *series.attributes, "future_date", rounded("_predicted", "bigint").alias(predicted)
     )

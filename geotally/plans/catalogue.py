@@ -329,7 +329,8 @@ def ingest_latency(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, cast(ts AS date) AS day FROM events")
 def millis_to_date(t: Tables) -> DataFrame:
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    millis = F.floor(cal.elapsed_seconds("ts", epoch) * 1000)
     return t("events").select("event_id", cal.date_of_millis(millis).alias("day"))
 
 

@@ -1,6 +1,7 @@
 """Hot keys and copies: results stay whole, and no task or list gets a whole hot group."""
 
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
@@ -91,6 +92,47 @@ def test_join_without_broadcast_gives_the_same(spark):
     assert results[0] == results[1] == results[2]
 
 
+def test_hot_join_key_is_split_without_salts(spark):
+    """The settings of the library alone: a shuffled join reads the hot partition in several tasks."""
+    fact = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"), "id"
+    )
+    dim = spark.range(5000).select(F.concat(F.lit("K"), "id").alias("name")).union(spark.createDataFrame([("HOT",)], "name string"))
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        joined = enrich.join_ignoring_case(fact, dim, "k", "name")
+        assert len(joined.collect()) == 200_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_newest_rows_match_brute_force(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([None, 1, 2, 3]), rng.choice([None, 1, 2]), rng.choice([None, "a", "b"]), i) for i in range(300)]
+    df = spark.createDataFrame(data, "k int, o int, t string, i int").repartition(5)
+    got = {r["k"]: tuple(r) for r in dedupe.latest_per_key(df, ["k"], ["o"], ["t", "i"]).collect()}
+
+    def rank(row):
+        return tuple((value is None, value) if value is not None else (True, 0) for value in row[1:])
+
+    want = {}
+    for row in data:
+        if row[0] not in want or rank(row) > rank(want[row[0]]):
+            want[row[0]] = row
+    assert got == want
+
+
 def test_salts_spread_a_hot_key(spark):
     fact = spark.range(8000).select(F.lit("hot").alias("k"), "id")
     salt = F.pmod(F.xxhash64("id"), F.lit(16))
