@@ -53,6 +53,21 @@ def hour_of_text(time_text: ColumnOrName, pattern: str = "HH:mm:ss") -> Column:
     return F.hour(F.to_timestamp_ntz(as_column(time_text), F.lit(pattern))).cast("bigint")
 
 
+_MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
+
+
+def any_date(value: ColumnOrName) -> Column:
+    """Date of a date, a timestamp, or text with the year or the month first; a time after it is ignored.
+
+    Text that is no date stops the job rather than becoming null; empty text is null.
+    """
+    written = F.nullif(F.trim(as_column(value).cast("string")), F.lit(""))
+    part = [F.regexp_extract(written, _MONTH_FIRST, i).try_cast("int") for i in (1, 2, 3)]
+    month_first = F.make_date(part[2], part[0], part[1])
+    year_first = F.replace(F.substring_index(written, " ", 1), F.lit("/"), F.lit("-")).cast("date")
+    return F.when(written.rlike(_MONTH_FIRST), month_first).otherwise(year_first)
+
+
 def date_of_millis(millis: ColumnOrName) -> Column:
     """UTC date of a number of milliseconds since 1970."""
     days = F.floor(as_column(millis) / F.lit(86_400_000)).cast("int")

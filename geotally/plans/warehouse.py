@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from geotally import fixed_values as fixed
-from geotally.functions.calendar import weekday_name
+from geotally.functions.calendar import any_date, weekday_name
 from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, reshape, runlog
 from geotally.plans.settings import JobSettings
 from geotally.sinks import tables as sink
@@ -20,7 +19,7 @@ SPOT_KEYS = ("main", "latitude", "longitude")
 
 def latest_traffic_volume(staged: DataFrame) -> DataFrame:
     """Newest count of each location; dates come as text and are compared as dates."""
-    dated = staged.withColumn("latest_count_date", F.to_date("count_date")).drop("count_date")
+    dated = staged.withColumn("latest_count_date", any_date("count_date")).drop("count_date")
     others = [c for c in dated.columns if c not in ("location_id", "latest_count_date")]
     newest = dedupe.latest_per_key(dated, ["location_id"], ["latest_count_date"], others)
     return newest.withColumnRenamed("X_id", "_id")

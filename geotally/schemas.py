@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     DataType,
-    DateType,
     DoubleType,
     LongType,
     StringType,
@@ -18,16 +17,18 @@ def table(*columns: tuple[str, DataType]) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns])
 
 
-TEXT, NUMBER, WHOLE, DAY, MOMENT = StringType(), DoubleType(), LongType(), DateType(), TimestampNTZType()
+TEXT, NUMBER, WHOLE, MOMENT = StringType(), DoubleType(), LongType(), TimestampNTZType()
+
+# Dates of landed files are read as text and converted when the rows are conformed.
 
 # Columns shared by all station files; the other columns are stations.
-AIR_WIDE_IDS = table(("Date", DAY), ("Hour (UTC)", WHOLE))
+AIR_WIDE_IDS = table(("Date", TEXT), ("Hour (UTC)", WHOLE))
 AIR_WIDE_RENAMES = {"Date": "the_date", "Hour (UTC)": "hours_utc"}
 
 FORECASTS = table(
     ("cgndb code", TEXT),
     ("community name", TEXT),
-    ("validity date", DAY),
+    ("validity date", TEXT),
     ("validity time (UTC)", TEXT),
     ("period", WHOLE),
     ("value", WHOLE),
@@ -67,7 +68,7 @@ GEO_NAMES = table(
     ("Location", TEXT),
     ("Province - Territory", TEXT),
     ("Relevance at Scale", WHOLE),
-    ("Decision Date", DAY),
+    ("Decision Date", TEXT),
     ("Source", TEXT),
 )
 GEO_NAMES_RENAMES = {"province_-_territory": "province_territory"}
@@ -79,10 +80,10 @@ INTERSECTION_COUNTS = table(
     ("MIDBLOCK_ROUTE", TEXT),
     ("SIDE_1_ROUTE", TEXT),
     ("SIDE_2_ROUTE", TEXT),
-    ("ACTIVATION_DATE", DAY),
+    ("ACTIVATION_DATE", TEXT),
     ("LATITUDE", NUMBER),
     ("LONGITUDE", NUMBER),
-    ("COUNT_DATE", DAY),
+    ("COUNT_DATE", TEXT),
     ("F8HR_VEHICLE_VOLUME", NUMBER),
     ("F8HR_PEDESTRIAN_VOLUME", NUMBER),
 )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geotally import schemas
+from geotally.functions.calendar import any_date
 from geotally.operators.clean import first_matching, lineage_stamp, normalize_columns
 from geotally.sources import files
 
@@ -27,13 +28,13 @@ def _link(raw: DataFrame, base: str | Column) -> Column:
 def conform_air_wide(raw: DataFrame, as_of: Stamp, base: str | Column = "") -> DataFrame:
     """One column per station, the two id columns renamed."""
     staged = raw.withColumnsRenamed(schemas.AIR_WIDE_RENAMES)
-    staged = staged.withColumns({"the_date": F.to_date("the_date"), "hours_utc": F.col("hours_utc").cast("bigint")})
+    staged = staged.withColumns({"the_date": any_date("the_date"), "hours_utc": F.col("hours_utc").cast("bigint")})
     return lineage_stamp(staged, as_of, _link(raw, base), F.col(files.FILE_NAME))
 
 
 def conform_forecasts(raw: DataFrame, as_of: Stamp, base: str | Column = "") -> DataFrame:
     staged = raw.withColumnsRenamed(schemas.FORECAST_RENAMES)
-    staged = staged.withColumn("validity_date", F.to_date("validity_date"))
+    staged = staged.withColumn("validity_date", any_date("validity_date"))
     return lineage_stamp(staged, as_of, _link(raw, base), F.col(files.FILE_NAME))
 
 
@@ -42,13 +43,13 @@ def conform_traffic_volume(raw: DataFrame, as_of: Stamp, link: str | Column = ""
 
 
 def conform_geo_names(raw: DataFrame, as_of: Stamp, link: str | Column = "") -> DataFrame:
-    staged = normalize_columns(raw, schemas.GEO_NAMES_RENAMES).withColumn("decision_date", F.to_date("decision_date"))
+    staged = normalize_columns(raw, schemas.GEO_NAMES_RENAMES).withColumn("decision_date", any_date("decision_date"))
     return lineage_stamp(staged, as_of, link, F.col(files.FILE_NAME))
 
 
 def conform_intersection_counts(raw: DataFrame, as_of: Stamp, link: str | Column = "") -> DataFrame:
     staged = normalize_columns(raw)
-    dates = {c: F.to_date(c) for c in ("activation_date", "count_date")}
+    dates = {c: any_date(c) for c in ("activation_date", "count_date")}
     return lineage_stamp(staged.withColumns(dates), as_of, link, F.col(files.FILE_NAME))
 
 

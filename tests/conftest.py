@@ -16,8 +16,8 @@ def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
     session = get_session(
         "tests",
-        master="local[4]",
-        spark__sql__shuffle__partitions="8",
+        master="local[8]",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(warehouse),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),

@@ -210,6 +210,29 @@ def test_text_helpers(spark):
     assert one(spark, text.label_text(("A", F.lit(1)), ("B", F.lit(None)))) == "A: 1; B: "
 
 
+@pytest.mark.parametrize(
+    "written, day",
+    [
+        ("2024-05-06", (2024, 5, 6)),
+        ("2015/03/02 00:00:00+00", (2015, 3, 2)),
+        ("3/2/2015 12:00:00 AM", (2015, 3, 2)),
+        (" 2024-05-06T10:00:00", (2024, 5, 6)),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_dates_in_any_form(spark, written, day):
+    assert one(spark, cal.any_date(F.lit(written).cast("string"))) == (dt.date(*day) if day else None)
+
+
+def test_typed_dates_and_no_dates(spark):
+    assert one(spark, cal.any_date(F.lit("2024-05-06 23:59:59").cast("timestamp_ntz"))) == dt.date(2024, 5, 6)
+    assert one(spark, cal.any_date(F.lit("2024-05-06").cast("date"))) == dt.date(2024, 5, 6)
+    for wrong in ("soon", "13/13/2024"):
+        with pytest.raises(Exception):
+            one(spark, cal.any_date(F.lit(wrong)))
+
+
 def test_date_of_millis(spark):
     assert one(spark, cal.date_of_millis(F.lit(1_704_067_199_999))) == dt.date(2023, 12, 31)
     assert one(spark, cal.date_of_millis(F.lit(1_704_067_200_000))) == dt.date(2024, 1, 1)
