@@ -82,7 +82,7 @@ def future_locations(
     """
     locations = first_attr_per_key(df, [key], attributes, [date_column])
     if table_wide:
-        shared = df.orderBy(date_column, key).limit(1)
+        shared = df.orderBy(date_column, key, *table_wide).limit(1)
         locations = locations.withColumns({c: shared.select(c).scalar() for c in table_wide})
     if start is None:
         newest = df.select(F.max(date_column).cast("date").alias("_newest")).scalar()

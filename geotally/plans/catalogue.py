@@ -647,6 +647,15 @@ def stage_traffic_volume(t: Tables) -> DataFrame:
 # Points and layers.
 
 
+@query(
+    f"""WITH combined AS ({sql_combined(SQL_READINGS, 'the_date, hours_utc, cgndb_id')})
+    SELECT *, longitude AS x, latitude AS y, 26917 AS srid FROM combined WHERE cgndb_id IN ('ST3', 'ST7', 'ST11')"""
+)
+def projected_readings(t: Tables) -> DataFrame:
+    chosen = warehouse.projected_air(combined_readings(t), ["st3", "ST7", "St11"], fixed.SRID_UTM17)
+    return chosen.select("*", "geom.x", "geom.y", "geom.srid").drop("geom")
+
+
 @query(
     f"""SELECT objectid, longitude AS x, latitude AS y, 26917 AS srid, 4326 AS true_srid,
     dayname(count_date) AS weekday FROM ({SQL_COUNTS})"""
@@ -670,7 +679,8 @@ def sql_double_hex(value: str) -> str:
     fraction = f"cast((abs({value}) / pow(2, {exponent}) - 1) * pow(2, 52) AS ubigint)"
     sign = f"CASE WHEN {value} < 0 THEN 9223372036854775808::ubigint ELSE 0::ubigint END"
     bits = f"{sign} + cast({exponent} + 1023 AS ubigint) * 4503599627370496::ubigint + {fraction}"
-    return f"(SELECT string_agg(substr(h, 15 - 2 * i, 2), '' ORDER BY i) FROM (SELECT upper(hex({bits})) AS h), range(8) r(i))"
+    swapped = "string_agg(substr(h, 15 - 2 * i, 2), '' ORDER BY i)"
+    return f"(SELECT {swapped} FROM (SELECT upper(hex({bits})) AS h), range(8) r(i))"
 
 
 @query(
@@ -678,7 +688,8 @@ def sql_double_hex(value: str) -> str:
     FROM (SELECT c_custkey, {sql_position('c_custkey')} FROM customer)"""
 )
 def point_hex(t: Tables) -> DataFrame:
-    places = t("customer").select("c_custkey", geo.point(inputs.longitude("c_custkey"), inputs.latitude("c_custkey")).alias("p"))
+    point = geo.point(inputs.longitude("c_custkey"), inputs.latitude("c_custkey")).alias("p")
+    places = t("customer").select("c_custkey", point)
     return places.select("c_custkey", geo.ewkb_hex("p").alias("geom_hex"))
 
 
@@ -739,7 +750,8 @@ def air_marker_layer(t: Tables) -> DataFrame:
 
 
 SQL_MARKER = """SELECT objectid, latitude, longitude, CASE WHEN {value} > m THEN 'red' WHEN {value} < m THEN 'green'
-    ELSE 'black' END AS marker_class, {popup} AS popup FROM ({source}), (SELECT trunc(cast(printf('%.14e', avg({of})) AS double)) AS m FROM {table})"""
+    ELSE 'black' END AS marker_class, {popup} AS popup FROM ({source}),
+    (SELECT trunc(cast(printf('%.14e', avg({of})) AS double)) AS m FROM {table})"""
 
 
 @query(
@@ -835,7 +847,8 @@ def weekday_charts(t: Tables) -> DataFrame:
     FROM (SELECT c_custkey, c_mktsegment, {sql_position('c_custkey')} FROM customer)"""
 )
 def geojson_features(t: Tables) -> DataFrame:
-    places = t("customer").select("c_custkey", "c_mktsegment", inputs.latitude("c_custkey"), inputs.longitude("c_custkey"))
+    position = [inputs.latitude("c_custkey"), inputs.longitude("c_custkey")]
+    places = t("customer").select("c_custkey", "c_mktsegment", *position)
     return layers.geojson_features(places, ["c_custkey", "c_mktsegment"])
 
 
@@ -884,6 +897,17 @@ def horizon_grid_yearly(t: Tables) -> DataFrame:
     return _grid(t, "Annual")
 
 
+@query(
+    f"""SELECT g.* EXCLUDE (tcs__), first.tcs__ FROM ({sql_grid("s", "to_days(cast(i AS int))")}) g,
+    (SELECT tcs__ FROM ({SQL_COUNTS}) ORDER BY count_date, objectid, tcs__ LIMIT 1) first"""
+)
+def horizon_grid_table_wide(t: Tables) -> DataFrame:
+    """The published grid takes one attribute from the first row of the whole table."""
+    attributes = ["tcs__", "main", "latitude", "longitude"]
+    counts = inputs.intersections(t)
+    return forecast.horizon_grid(counts, "objectid", "count_date", attributes, "Daily", 30, table_wide=["tcs__"])
+
+
 @query()
 def forecast_volume(t: Tables) -> DataFrame:
     series = forecast.traffic_series("f8hr_vehicle_volume")
