@@ -649,10 +649,12 @@ def stage_traffic_volume(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH combined AS ({sql_combined(SQL_READINGS, 'the_date, hours_utc, cgndb_id')})
-    SELECT *, longitude AS x, latitude AS y, 26917 AS srid FROM combined WHERE cgndb_id IN ('ST3', 'ST7', 'ST11')"""
+    SELECT *, longitude AS x, latitude AS y, 26917 AS srid FROM combined
+    WHERE cgndb_id IN (SELECT 'ST' || c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')"""
 )
 def projected_readings(t: Tables) -> DataFrame:
-    chosen = warehouse.projected_air(combined_readings(t), ["st3", "ST7", "St11"], fixed.SRID_UTM17)
+    wanted = t("customer").where("c_mktsegment = 'MACHINERY'").select(F.concat(F.lit("st"), "c_custkey"))
+    chosen = warehouse.projected_air(combined_readings(t), wanted, fixed.SRID_UTM17)
     return chosen.select("*", "geom.x", "geom.y", "geom.srid").drop("geom")
 
 
