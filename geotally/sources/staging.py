@@ -25,16 +25,22 @@ def _link(raw: DataFrame, base: str | Column) -> Column:
     return F.concat(base, F.substring_index(files.FILE_NAME, "/", -1))
 
 
+def _as_dates(df: DataFrame, *columns: str) -> DataFrame:
+    """Columns as dates: text is parsed, dates and timestamps are only cast."""
+    text = {c for c, kind in df.dtypes if kind == "string"}
+    return df.withColumns({c: any_date(c) if c in text else F.to_date(c) for c in columns})
+
+
 def conform_air_wide(raw: DataFrame, as_of: Stamp, base: str | Column = "") -> DataFrame:
     """One column per station, the two id columns renamed."""
     staged = raw.withColumnsRenamed(schemas.AIR_WIDE_RENAMES)
-    staged = staged.withColumns({"the_date": any_date("the_date"), "hours_utc": F.col("hours_utc").cast("bigint")})
+    staged = _as_dates(staged, "the_date").withColumn("hours_utc", F.col("hours_utc").cast("bigint"))
     return lineage_stamp(staged, as_of, _link(raw, base), F.col(files.FILE_NAME))
 
 
 def conform_forecasts(raw: DataFrame, as_of: Stamp, base: str | Column = "") -> DataFrame:
     staged = raw.withColumnsRenamed(schemas.FORECAST_RENAMES)
-    staged = staged.withColumn("validity_date", any_date("validity_date"))
+    staged = _as_dates(staged, "validity_date")
     return lineage_stamp(staged, as_of, _link(raw, base), F.col(files.FILE_NAME))
 
 
@@ -43,14 +49,13 @@ def conform_traffic_volume(raw: DataFrame, as_of: Stamp, link: str | Column = ""
 
 
 def conform_geo_names(raw: DataFrame, as_of: Stamp, link: str | Column = "") -> DataFrame:
-    staged = normalize_columns(raw, schemas.GEO_NAMES_RENAMES).withColumn("decision_date", any_date("decision_date"))
+    staged = _as_dates(normalize_columns(raw, schemas.GEO_NAMES_RENAMES), "decision_date")
     return lineage_stamp(staged, as_of, link, F.col(files.FILE_NAME))
 
 
 def conform_intersection_counts(raw: DataFrame, as_of: Stamp, link: str | Column = "") -> DataFrame:
-    staged = normalize_columns(raw)
-    dates = {c: any_date(c) for c in ("activation_date", "count_date")}
-    return lineage_stamp(staged.withColumns(dates), as_of, link, F.col(files.FILE_NAME))
+    staged = _as_dates(normalize_columns(raw), "activation_date", "count_date")
+    return lineage_stamp(staged, as_of, link, F.col(files.FILE_NAME))
 
 
 def stage_air_wide(spark: SparkSession, path: str, as_of: Stamp, base: str = "") -> DataFrame:
