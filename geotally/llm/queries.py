@@ -4,17 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotally.llm import chat, decontamination, exact_dedup, simhash
+from geotally.llm import chat, decontamination, exact_dedup, language_id, line_dedup, packing, pii, quality_crf, simhash, toxicity
 from geotally.llm.common import table
 
 
+#: File of the tokenizer that packing counts in.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
 
 
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("terms")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_units(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -43,13 +73,36 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op3_quality_crf": op3_quality_crf,
+    "op4_pii": op4_pii,
+    "op5_toxicity": op5_toxicity,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_packing": op7_packing,
     "op8_chat": op8_chat,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) AS units FROM documents
+), u AS (
+  SELECT doc_id, unnest(units) AS unit, generate_subscripts(units, 1) AS k FROM l
+), p AS (
+  SELECT *, coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+    regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM u
+), f AS (
+  SELECT *, array_to_string(w, ' ') AS norm FROM p WHERE len(w) >= 8
+), r AS (
+  SELECT *, row_number() OVER g AS n, first_value(doc_id) OVER g AS keep_doc_id, first_value(start) OVER g AS keep_start
+  FROM f WINDOW g AS (PARTITION BY norm ORDER BY doc_id, start)
+)
+SELECT doc_id, start, start + length(unit) AS "end", len(w) AS n_words, keep_doc_id, keep_start FROM r WHERE n > 1
+""",
     "op8_chat": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
