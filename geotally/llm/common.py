@@ -33,6 +33,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ids_and_texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(id, text, more) with ids as text: pandas would turn whole numbers into fractions where a null is among them."""
+    return docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), *more)
+
+
+def with_ids(df: DataFrame, docs: DataFrame, id_col: str, name: str | None = None) -> DataFrame:
+    """``df`` with its ids in the type they have in ``docs``, under ``name`` (else still ``id``)."""
+    kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType
+    return df.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", name or "id")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geotally.llm.common import ids_and_texts, with_ids
+
 #: Words of a window.
 WINDOW = 10
 #: Bytes of benchmark text whose patterns are held by a task at once; more text is searched for in several passes.
@@ -161,9 +163,10 @@ def _scanned(docs: DataFrame, items: list[tuple[str, str | None]], id_col: str,
                 }
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(each, f"id {kind}, text_key long, n_words long, spans array<struct<from: long, to: long>>, items array<string>")
+    found = ids_and_texts(docs, id_col, text_col).mapInPandas(
+        each, "id string, text_key long, n_words long, spans array<struct<from: long, to: long>>, items array<string>"
+    )
+    return with_ids(found, docs, id_col)
 
 
 def _merged(passes: DataFrame, blocks: int) -> DataFrame:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import fold
+from geotally.llm.common import fold, ids_and_texts, with_ids
 
 #: Bytes of a window; widths of the filters and filters of each width; size of a byte's embedding.
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4, 5), 8, 8
@@ -153,7 +153,8 @@ def predicted(docs: DataFrame, network: ByteConvNet | None) -> DataFrame:
             langs, scores = [], []
             for at in range(0, len(b), 256):
                 cuts = [windows(t) if ok else None for t, ok in zip(b["text"][at : at + 256], b["ok"][at : at + 256], strict=True)]
-                found = network.predict(np.concatenate([c for c in cuts if c is not None] or [np.zeros((0, WINDOW), np.uint8)]))
+                kept = [c for c in cuts if c is not None]
+                found = network.predict(np.concatenate(kept)) if kept else np.zeros((0, 0))
                 first = 0
                 for c in cuts:
                     if c is None:
@@ -169,8 +170,7 @@ def predicted(docs: DataFrame, network: ByteConvNet | None) -> DataFrame:
 
     known = F.lit(network is not None) & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select("id", "text", "held_out", known.alias("ok"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(each, f"id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInPandas(each, "id string, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", of: int = 3, held: int = 1) -> DataFrame:
@@ -181,7 +181,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     every text if no row has a language. The score is the mean probability of the language over the text's bytes.
     """
     out = F.coalesce(fold(F.col(id_col), of) == held, F.lit(False))
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), out.alias("held_out")
-    ).withColumn("learnable", ~F.col("held_out") & F.col("id").isNotNull())
-    return predicted(rows, trained(rows)).withColumnRenamed("id", id_col)
+    rows = ids_and_texts(docs, id_col, text_col, F.col(lang_col).alias("lang"), out.alias("held_out"))
+    rows = rows.withColumn("learnable", ~F.col("held_out") & F.col("id").isNotNull())
+    return with_ids(predicted(rows, trained(rows)), docs, id_col, id_col)

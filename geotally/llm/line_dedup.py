@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import written
+from geotally.llm.common import ids_and_texts, with_ids, written
 
 #: Words of a unit at least; shorter ones are repeated by chance.
 LEAST_WORDS = 8
@@ -41,9 +41,8 @@ def hashed_units(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str =
                     out += [(i, a, z, len(w), xxhash.xxh3_128_digest(b" ".join(w))) for a, z, w in units(t) if len(w) >= least_words]
                 yield pd.DataFrame(out, columns=["id", "start", "end", "n_words", "digest"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(each, f"id {kind}, start long, end long, n_words long, digest binary")
+    found = ids_and_texts(docs, id_col, text_col).mapInPandas(each, "id string, start long, end long, n_words long, digest binary")
+    return with_ids(found, docs, id_col)
 
 
 def repeated_units(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import written
+from geotally.llm.common import ids_and_texts, with_ids, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of a mention that count as its context, and letters of a word at least.
@@ -119,13 +119,12 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pd.DataFrame({"row": range(row, row + len(b)), "id": b["id"], "base": base, "near": near})
             row += len(b)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    place = "places array<struct<start: int, end: int>>"
-    return rows.mapInPandas(
+    found = ids_and_texts(docs, id_col, text_col).mapInPandas(
         each,
-        f"row long, id {rows.schema['id'].dataType.simpleString()}, base array<struct<start: int, k: int, end: int, entity: string>>, "
-        f"near array<struct<term: string, entity: string, {place}>>",
+        "row long, id string, base array<struct<start: int, k: int, end: int, entity: string>>, "
+        "near array<struct<term: string, entity: string, places array<struct<start: int, end: int>>>>",
     )
+    return with_ids(found, docs, id_col)
 
 
 def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -223,6 +222,6 @@ def sanitised(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_co
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "text": [clean(*r) for r in zip(b["text"], b["spans"], b["terms"], strict=True)]})
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(found.select(F.col(id_col).alias("id"), "spans", "terms"), "id")
-    return rows.mapInPandas(each, f"id {rows.schema['id'].dataType.simpleString()}, text string").toDF(id_col, text_col)
+    spans = found.select(F.col(id_col).cast("string").alias("id"), "spans", "terms")
+    clean_rows = ids_and_texts(docs, id_col, text_col).join(spans, "id").mapInPandas(each, "id string, text string")
+    return with_ids(clean_rows, docs, id_col).toDF(id_col, text_col)

@@ -18,13 +18,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import written
+from geotally.llm.common import ids_and_texts, with_ids, written
 from geotally.llm.components import components
 
 BITS = 64
 SEED = 42
 #: Cost of one row that is filed or probes, measured in verified candidates.
 ROW_COST = 50.0
+#: Radius of the first search; a wider one follows between the components of the first.
+FIRST_RADIUS = 3
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -53,8 +55,8 @@ def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "fp": np.fromiter((fingerprint(t, words) for t in b["text"]), np.int64, len(b))})
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(each, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    found = ids_and_texts(docs, id_col, text_col).mapInPandas(each, "id string, fp long")
+    return with_ids(found, docs, id_col)
 
 
 def bit_pairs(fps: DataFrame) -> np.ndarray:
@@ -120,9 +122,10 @@ def ball(width: int, radius: int) -> int:
 
 def chosen_partitions(n: int, pairs: np.ndarray, radius: int) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each partition in use. Dynamic programming over what the thresholds add up to."""
-    share = pairs / max(1, n)
+    n = max(1, n)
+    share = pairs / n
     best: tuple[float, list[tuple[list[int], int]]] = (np.inf, [])
-    for parts in range(2, radius + 2):
+    for parts in range(1, radius + 2):
         groups = grouped_bits(share, parts)
         total = radius - parts + 1
         # A threshold of -1 leaves the partition out; sums are shifted by one a partition.
@@ -158,16 +161,22 @@ def _keys(partitions: list[tuple[list[int], int]], probe: bool) -> Column:
     return F.flatten(F.array(*(of_part(k, bits, t) for k, (bits, t) in enumerate(partitions))))
 
 
-def linked(fps: DataFrame, partitions: list[tuple[list[int], int]], radius: int) -> DataFrame:
-    """(a, b) of each two rows of ``fps`` (fp, rep) whose fingerprints differ in at most ``radius`` bits.
+def linked(classes: DataFrame, partitions: list[tuple[list[int], int]], radius: int) -> DataFrame:
+    """(a, b) of each two ``comp`` that two rows of ``classes`` (fp, comp) link by differing in at most ``radius`` bits.
 
-    Candidates are verified inside the join, so only links leave it; hot keys are split by the skew join.
+    Candidates are verified inside the join, and only in the first partition where they meet, so a link leaves it
+    once; hot keys are split by the skew join.
     """
-    filed = fps.select("fp", "rep", F.explode(_keys(partitions, False)).alias("k")).select("k.*", "fp", "rep")
-    probes = fps.select(F.col("fp").alias("fp2"), F.col("rep").alias("rep2"), F.explode(_keys(partitions, True)).alias("k")).select("k.*", "fp2", "rep2")
-    near = (F.col("fp") < F.col("fp2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= radius)
+    filed = classes.select("fp", "comp", F.explode(_keys(partitions, False)).alias("k")).select("k.*", "fp", "comp")
+    probes = classes.select(F.col("fp").alias("fp2"), F.col("comp").alias("comp2"), F.explode(_keys(partitions, True)).alias("k"))
+    probes = probes.select("k.*", "fp2", "comp2")
+    differ = F.col("fp").bitwiseXOR(F.col("fp2"))
+    near = (F.col("fp") < F.col("fp2")) & (F.bit_count(differ) <= radius) & (F.col("comp") != F.col("comp2"))
+    for k, (bits, threshold) in enumerate(partitions):
+        met = F.bit_count(differ.bitwiseAND(_long(sum(1 << b for b in bits)))) <= threshold
+        near = near & ((filed.part <= k) | ~met)
     joined = filed.join(probes, (filed.part == probes.part) & (filed.key == probes.key) & near)
-    return joined.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+    return joined.select(F.col("comp").alias("a"), F.col("comp2").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,15 +184,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 3, id_col: st
 
     component_id is the smallest id that can be reached over fingerprints differing in at most ``radius`` bits, the
     own id included. Null and blank texts have fingerprint 0 and are linked like any other. Copies of a fingerprint
-    stand for one row in the search. A row without an id takes the component of its fingerprint.
+    stand for one row in the search. Components of close fingerprints are found first; further links are then
+    looked for between components only, so a dense group does not give all of its pairs. A row without an id takes
+    the component of its fingerprint.
     """
     marked = written(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
-    partitions = chosen_partitions(classes.count(), bit_pairs(classes), radius)
-    found = components(linked(classes, partitions, radius))
-    named = classes.join(found, classes.rep == found.id, "left").select(
-        F.col("fp").alias("class_fp"), F.coalesce("component_id", "rep").alias("component_id")
-    )
+    classes = written(marked.groupBy("fp").agg(F.min("id").alias("comp")), "classes")
+    n, pairs = classes.count(), bit_pairs(classes)
+    for step in sorted({min(FIRST_RADIUS, radius), radius}):
+        found = components(linked(classes, chosen_partitions(n, pairs, step), step))
+        joined = classes.join(found, classes.comp == found.id, "left")
+        classes = written(joined.select("fp", F.coalesce("component_id", "comp").alias("comp")), "classes")
+    named = classes.select(F.col("fp").alias("class_fp"), F.col("comp").alias("component_id"))
     return marked.join(named, marked.fp == named.class_fp).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

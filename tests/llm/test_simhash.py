@@ -41,6 +41,8 @@ def test_near_duplicates_equal_brute_force(spark):
     want = brute_components(list(range(len(texts))), fps, 3)
     assert got == {k: (fps[k], want[k]) for k in range(len(texts))}
     assert len(set(want.values())) < len(texts)
+    wide = brute_components(list(range(len(texts))), fps, 6)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, texts), 3, 6).collect()} == wide
 
 
 @pytest.mark.parametrize("radius", [1, 3, 6])
@@ -53,10 +55,12 @@ def test_no_link_is_lost(spark, radius):
             bits = rng.choice(64, distance, replace=False)
             values.add(int(c) ^ sum(1 << int(b) for b in bits))
     signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
-    fps = spark.createDataFrame([(v, k) for k, v in enumerate(signed)], "fp long, rep long")
+    fps = spark.createDataFrame([(v, k) for k, v in enumerate(signed)], "fp long, comp long")
     plan = simhash.chosen_partitions(len(signed), simhash.bit_pairs(fps), radius)
     assert sorted(b for bits, _ in plan for b in bits) == sorted({b for bits, _ in plan for b in bits})
-    got = {frozenset(r) for r in simhash.linked(fps, plan, radius).collect()}
+    found = [frozenset(r) for r in simhash.linked(fps, plan, radius).collect()]
+    got = set(found)
+    assert len(found) == len(got)  # each once, however many partitions the two meet in
     want = {frozenset((i, j)) for i, a in enumerate(signed) for j, b in enumerate(signed) if i < j and ((a ^ b) & (1 << 64) - 1).bit_count() <= radius}
     assert got == want
 
@@ -88,6 +92,9 @@ def test_estimate_of_near_pairs():
 
 def test_empty_table_and_null_ids(spark):
     assert simhash.near_duplicates(docs(spark, []), 3, 3).collect() == []
+    big = (1 << 62) + 1  # a null beside it must not turn it into a fraction
+    found = simhash.near_duplicates(spark.createDataFrame([(None, "x"), (big, "y")], "doc_id long, text string"), 3, 0)
+    assert {r.doc_id for r in found.collect()} == {None, big}
     df = spark.createDataFrame([(None, "a b c"), (4, "a b c"), (None, "z")], "doc_id long, text string")
     assert sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(df, 3, 0).collect()) == [("4", "4"), ("None", "4"), ("None", "None")]
 
