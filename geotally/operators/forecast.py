@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -23,6 +24,8 @@ from geotally.operators.clean import drop_any_null, insertion_stamp
 
 FOLDS = 5
 SMOOTHING = 10.0
+# Category tables of up to so many values (a few hundred bytes each) are sent to all tasks.
+BROADCAST_VALUES = 5_000
 # Fitting reads its rows many times. What does not fit in memory goes to disk, and what an executor
 # takes with it is computed again.
 KEPT = StorageLevel.MEMORY_AND_DISK
@@ -30,11 +33,10 @@ KEPT = StorageLevel.MEMORY_AND_DISK
 
 @dataclass(frozen=True)
 class ForecastSettings:
-    """Horizon in periods, period word, and seconds for the model search (0 for no limit)."""
+    """Horizon in periods, period word, and sizes of the models; every candidate is always fitted."""
 
     horizon: int = 30
     frequency: str = "Daily"
-    budget_seconds: int = 240
     seed: int = 17
     forest_trees: int = 12
     boosting_rounds: int = 6
@@ -43,8 +45,6 @@ class ForecastSettings:
     def __post_init__(self) -> None:
         if self.horizon < 1:
             raise ValueError("the forecast horizon must be above 0")
-        if self.budget_seconds < 0:
-            raise ValueError("the search budget must not be negative")
         cal.parse_frequency(self.frequency)
 
     @property
@@ -116,7 +116,11 @@ def horizon_grid(
 
 
 def _fold(df: DataFrame, series: Series) -> DataFrame:
-    return df.withColumn("_fold", F.pmod(F.xxhash64(series.key, series.date, series.label), F.lit(FOLDS)))
+    """Fold of each row, out of the first two digits of a digest of key, date and whole part of the label."""
+    whole = F.floor(series.label).cast("bigint")
+    digest = F.md5(F.concat_ws("|", series.key, F.col(series.date).cast("date"), whole).cast("binary"))
+    digits = [F.instr(F.lit("0123456789abcdef"), F.substr(digest, F.lit(k), F.lit(1))) - 1 for k in (1, 2)]
+    return df.withColumn("_fold", ((16 * digits[0] + digits[1]) % FOLDS).cast("int"))
 
 
 @dataclass(frozen=True)
@@ -127,25 +131,37 @@ class CategoryMeans:
     sums: Mapping[str, DataFrame]
 
 
-def category_means(train: DataFrame, series: Series) -> CategoryMeans:
-    """Label sum and count of each category value, as one array entry per fold.
+def category_cells(rows: DataFrame, series: Series, *flags: str) -> DataFrame:
+    """Label sum and count of each combination of categories, fold and flags: the one pass over all rows.
 
-    They stay tables that are joined, not lists on the driver, because the number of locations
-    grows with the data; only the overall mean is fetched.
+    All category means are sums of these cells, whatever fold or flag is left out.
     """
     label = F.col(series.label)
+    kept = [F.col(c).alias(f"_{c}") for c in series.categories]
+    return rows.groupBy(*kept, "_fold", *flags).agg(F.sum(label).alias("_total"), F.count(label).alias("_rows"))
+
+
+def category_means(cells: DataFrame, series: Series) -> CategoryMeans:
+    """Label sum and count of each category value, and both as one array entry per fold.
+
+    They stay tables that are joined, not lists on the driver, because the number of locations
+    grows with the data; only the overall mean and the number of values are fetched.
+    """
     in_fold = [F.col("_fold") == i for i in range(FOLDS)]
-    sums = F.array(*[F.coalesce(F.sum(F.when(f, label)), F.lit(0.0)) for f in in_fold])
-    counts = F.array(*[F.count_if(f) for f in in_fold])
-    measures = {"_total": F.sum(label), "_rows": F.count(label), "_sums": sums, "_counts": counts}
-    tables = {
-        c: train.groupBy(F.col(c).alias("_category")).agg(*[m.alias(name) for name, m in measures.items()])
-        for c in series.categories
-    }
-    prior = train.agg(F.avg(series.label)).first()[0]
-    if prior is None:
+    sums = F.array(*[F.coalesce(F.sum(F.when(f, F.col("_total"))), F.lit(0.0)) for f in in_fold])
+    counts = F.array(*[F.coalesce(F.sum(F.when(f, F.col("_rows"))), F.lit(0)) for f in in_fold])
+    measures = {"_total": F.sum("_total"), "_rows": F.sum("_rows"), "_sums": sums, "_counts": counts}
+    sizes = cells.agg(
+        F.sum("_total"), F.sum("_rows"), *[F.approx_count_distinct(f"_{c}", 0.02) for c in series.categories]
+    ).first()
+    if not sizes[1]:
         raise ValueError("no complete rows to learn from")
-    return CategoryMeans(prior, tables)
+    tables = {}
+    for c, values in zip(series.categories, sizes[2:], strict=True):
+        table = cells.groupBy(F.col(f"_{c}").alias("_category")).agg(*[m.alias(name) for name, m in measures.items()])
+        # A few values would otherwise be a few hot keys of a shuffle of all rows.
+        tables[c] = F.broadcast(table) if values <= BROADCAST_VALUES else table
+    return CategoryMeans(sizes[0] / sizes[1], tables)
 
 
 def encode_categories(rows: DataFrame, means: CategoryMeans) -> DataFrame:
@@ -190,31 +206,46 @@ def candidates(label: str, settings: ForecastSettings) -> dict[str, Estimator]:
     }
 
 
-def _split_by_date(rows: DataFrame, series: Series, newest_share: float) -> tuple[DataFrame, DataFrame]:
-    """(older, newest) rows; by fold when all rows have the same date."""
-    day = F.unix_date(F.col(series.date).cast("date"))
-    cut, first, last = rows.select(F.percentile_approx(day, 1 - newest_share, 1000), F.min(day), F.max(day)).first()
-    if cut is None:
+def _day(series: Series) -> Column:
+    return F.unix_date(F.col(series.date).cast("date"))
+
+
+def split_dates(rows: DataFrame, series: Series, newest_share: float = 0.2) -> int | None:
+    """Last day (since 1970) of the older rows; None when all rows have the same date.
+
+    It is the first day up to which there are at least the older share of all rows, but not the
+    last day of all. Rows are counted by day, so the cut is exact and the calendar bounds what is fetched.
+    """
+    days = sorted(rows.groupBy(_day(series).alias("day")).count().collect())
+    if not days:
         raise ValueError("no complete rows to learn from")
-    if first == last:
-        return rows.where(F.col("_fold") > 0), rows.where(F.col("_fold") == 0)
-    cut = min(cut, last - 1)
-    return rows.where(day <= cut), rows.where(day > cut)
+    if len(days) == 1:
+        return None
+    total, met = sum(n for _, n in days), 0
+    for day, n in days[:-1]:
+        met += n
+        if met >= (1 - newest_share) * total:
+            return day
+    return days[-2][0]
+
+
+def with_split(rows: DataFrame, series: Series, newest_share: float = 0.2) -> DataFrame:
+    """Rows with ``_older``: whether they are learned from in the comparison; by fold when all rows have the same date."""
+    cut = split_dates(rows, series, newest_share)
+    return rows.withColumn("_older", F.col("_fold") > 0 if cut is None else _day(series) <= cut)
 
 
 def compare_models(
-    rows: DataFrame, series: Series, settings: ForecastSettings, newest_share: float = 0.2
+    rows: DataFrame, cells: DataFrame, series: Series, settings: ForecastSettings
 ) -> list[tuple[str, float, float]]:
-    """(model, held-out RMSE, seconds), best first. The newest dates are held out."""
-    older, newest = _split_by_date(rows, series, newest_share)
-    means = category_means(older, series)
-    train, test = (_vectors(part, means, series).persist(KEPT) for part in (older, newest.drop("_fold")))
+    """(model, held-out RMSE, seconds), best first. ``rows`` are split; the newest dates are held out."""
+    means = category_means(cells.where("_older"), series)
+    older, newest = rows.where("_older"), rows.where("NOT _older").drop("_fold")
+    train, test = (_vectors(part, means, series).persist(KEPT) for part in (older, newest))
     evaluator = RegressionEvaluator(labelCol=series.label, predictionCol="_predicted", metricName="rmse")
-    begun, results = time.monotonic(), []
+    results = []
     try:
         for name, estimator in candidates(series.label, settings).items():
-            if results and settings.budget_seconds and time.monotonic() - begun > settings.budget_seconds:
-                break
             clock = time.monotonic()
             rmse = evaluator.evaluate(estimator.fit(train).transform(test))
             results.append((name, rmse, time.monotonic() - clock))
@@ -243,29 +274,46 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(tasks).persist(KEPT)
 
 
-def forecast_leaderboard(df: DataFrame, series: Series, settings: ForecastSettings | None = None) -> DataFrame:
-    """Models by held-out error."""
-    rows = _spread(_training_rows(df, series))
+@contextmanager
+def _prepared(rows: DataFrame, series: Series) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(split rows, category cells), both kept while models are fitted."""
+    kept = _spread(rows)
     try:
-        results = compare_models(rows, series, settings or ForecastSettings())
+        split = with_split(kept, series)
+        cells = category_cells(split, series, "_older").persist(KEPT)
+        try:
+            yield split, cells
+        finally:
+            cells.unpersist()
     finally:
-        rows.unpersist()
+        kept.unpersist()
+
+
+def forecast_leaderboard(df: DataFrame, series: Series, settings: ForecastSettings | None = None) -> DataFrame:
+    """All models by held-out error."""
+    with _prepared(_training_rows(df, series), series) as (rows, cells):
+        results = compare_models(rows, cells, series, settings or ForecastSettings())
     ranked = [(rank, name, rmse, seconds) for rank, (name, rmse, seconds) in enumerate(results, 1)]
     return df.sparkSession.createDataFrame(ranked, "rank int, model string, rmse double, seconds double")
 
 
 def fit_leader(rows: DataFrame, series: Series, settings: ForecastSettings) -> Model:
     """Best model of the comparison, fitted again on all rows."""
-    kept = _spread(rows)
-    try:
-        leader = compare_models(kept, series, settings)[0][0]
-        train = _vectors(kept, category_means(kept, series), series).persist(KEPT)
+    with _prepared(rows, series) as (kept, cells):
+        leader = compare_models(kept, cells, series, settings)[0][0]
+        train = _vectors(kept, category_means(cells, series), series).persist(KEPT)
         try:
             return candidates(series.label, settings)[leader].fit(train)
         finally:
             train.unpersist()
-    finally:
-        kept.unpersist()
+
+
+def forecast_grid(
+    series: Series, predicted: Column, name: str, as_of: datetime | Column, grid: DataFrame
+) -> DataFrame:
+    """Rows of a forecast table: each location and future date with its prediction to the nearest integer."""
+    result = grid.select(series.key, *series.attributes, "future_date", rounded(predicted, "bigint").alias(name))
+    return insertion_stamp(result, as_of)
 
 
 def forecast_volume(
@@ -281,13 +329,54 @@ def forecast_volume(
     model = fit_leader(rows, series, settings)
     locations = future_locations(rows, series.key, series.date, series.attributes)
     # Categories do not change over time: they are looked up once per location, before the dates.
-    encoded = encode_categories(locations, category_means(rows, series))
+    encoded = encode_categories(locations, category_means(category_cells(rows, series), series))
     grid = with_future_dates(encoded, settings.frequency, settings.horizon)
     scored = model.transform(_assemble(grid, series, "future_date"))
-    result = scored.select(
-        series.key, *series.attributes, "future_date", rounded("_predicted", "bigint").alias(predicted)
+    return forecast_grid(series, F.col("_predicted"), predicted, as_of, scored)
+
+
+def forecast_trend(
+    df: DataFrame,
+    series: Series,
+    predicted: str,
+    as_of: datetime | Column,
+    settings: ForecastSettings | None = None,
+) -> DataFrame:
+    """Predictions by a straight line through each location's counts; its mean where all have one date."""
+    settings = settings or ForecastSettings()
+    rows = _training_rows(df, series)
+    day, label = _day(series).cast("double"), F.col(series.label)
+    # Days are counted from the table's first, so that the squares stay exact.
+    origin = rows.select(F.min(_day(series))).scalar()
+    since = day - origin
+    lines = rows.groupBy(F.col(series.key).alias("_key")).agg(
+        F.regr_slope(label, since).alias("_slope"), F.regr_intercept(label, since).alias("_base"), F.avg(label).alias("_mean")
+    )
+    locations = future_locations(rows, series.key, series.date, series.attributes)
+    joined = locations.join(lines, F.col(series.key) == F.col("_key"))
+    grid = with_future_dates(joined, settings.frequency, settings.horizon)
+    ahead = F.unix_date("future_date") - origin
+    value = F.coalesce(F.col("_base") + F.col("_slope") * ahead, F.col("_mean"))
+    return forecast_grid(series, value, predicted, as_of, grid)
+
+
+def forecast_features(df: DataFrame, series: Series) -> DataFrame:
+    """Training rows with the mean of each category: over all rows, and over the rows of other folds."""
+    rows = _training_rows(df, series)
+    means = category_means(category_cells(rows, series), series)
+    plain = encode_categories(rows.withColumnRenamed("_fold", "fold"), means)
+    whole = plain.withColumnsRenamed({f"{c}_mean": f"{c}_mean_all" for c in series.categories} | {"fold": "_fold"})
+    return encode_categories(whole, means).withColumnRenamed("_fold", "fold")
+
+
+def forecast_split(df: DataFrame, series: Series) -> DataFrame:
+    """(side, n_rows, first_date, last_date) of the rows learned from and those held out."""
+    rows = with_split(_training_rows(df, series), series)
+    side = F.when(F.col("_older"), "older").otherwise("newest").alias("side")
+    date = F.col(series.date).cast("date")
+    return rows.groupBy(side).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(date).alias("first_date"), F.max(date).alias("last_date")
     )
-    return insertion_stamp(result, as_of)
 
 
 def traffic_series(label: str) -> Series:

@@ -22,6 +22,11 @@ def table(spark, n=400, locations=8, label=None):
     return spark.createDataFrame(data, "objectid int, main string, latitude double, count_date date, volume double")
 
 
+def sides(rows):
+    split = fc.with_split(rows, SERIES)
+    return split.where("_older"), split.where("NOT _older")
+
+
 def test_category_means_leave_their_own_fold_out(spark):
     rows = fc._training_rows(table(spark, 60, 4), SERIES)
     plain = [r.asDict() for r in rows.collect()]
@@ -30,7 +35,7 @@ def test_category_means_leave_their_own_fold_out(spark):
     def mean(values):
         return (sum(values) + fc.SMOOTHING * prior) / (len(values) + fc.SMOOTHING)
 
-    means = fc.category_means(rows, SERIES)
+    means = fc.category_means(fc.category_cells(rows, SERIES), SERIES)
     for r in fc.encode_categories(rows, means).collect():
         others = [p["volume"] for p in plain if p["objectid"] == r["objectid"] and p["_fold"] != r["_fold"]]
         assert r["objectid_mean"] == pytest.approx(mean(others))
@@ -44,18 +49,18 @@ def test_category_means_leave_their_own_fold_out(spark):
 
 def test_newest_dates_are_held_out(spark):
     rows = fc._training_rows(table(spark), SERIES)
-    older, newest = fc._split_by_date(rows, SERIES, 0.2)
+    older, newest = sides(rows)
     assert older.count() + newest.count() == 400
     assert older.agg(F.max("count_date")).first()[0] < newest.agg(F.min("count_date")).first()[0]
     assert 0.1 < newest.count() / 400 < 0.3
     same_day = fc._training_rows(table(spark).withColumn("count_date", F.lit("2020-01-01").cast("date")), SERIES)
-    older, newest = fc._split_by_date(same_day, SERIES, 0.2)
+    older, newest = sides(same_day)
     assert older.count() + newest.count() == 400 and newest.count() > 0
     mostly_last = fc._training_rows(
         table(spark).withColumn("count_date", F.when(F.col("volume") > 100, F.lit("2021-01-01")).otherwise("2020-01-01").cast("date")),
         SERIES,
     )
-    older, newest = fc._split_by_date(mostly_last, SERIES, 0.2)
+    older, newest = sides(mostly_last)
     assert older.count() > 0 and newest.count() > 0
 
 
@@ -82,11 +87,22 @@ def test_leaderboard(spark):
     assert board[0]["model"] == "linear"
 
 
-def test_search_stops_after_its_budget(spark, monkeypatch):
-    clock = iter(range(0, 10_000, 100))
-    monkeypatch.setattr(fc.time, "monotonic", lambda: next(clock))
-    rows = fc._training_rows(table(spark), SERIES)
-    assert len(fc.compare_models(rows, SERIES, fc.ForecastSettings(budget_seconds=50))) == 1
+def test_two_searches_give_the_same_leader(spark):
+    boards = [fc.forecast_leaderboard(table(spark, 120, 4), SERIES).collect() for _ in range(2)]
+    assert len(boards[0]) == 3 and [r["model"] for r in boards[0]] == [r["model"] for r in boards[1]]
+
+
+def test_small_categories_are_broadcast_and_locations_are_not_assumed_small(spark, monkeypatch):
+    monkeypatch.setattr(fc, "BROADCAST_VALUES", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = fc._training_rows(table(spark), SERIES)
+        encoded = fc.encode_categories(rows, fc.category_means(fc.category_cells(rows, SERIES), SERIES))
+        plan = encoded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+    assert "hashpartitioning(main" not in plan
 
 
 def test_nothing_to_learn_from(spark):
