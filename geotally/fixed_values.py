@@ -43,12 +43,18 @@ FREQUENCY_WORDS = (
     ("QUARTER", "QS", "Quarterly"),
 )
 
-# Run-log rows that exist before their steps have run.
+# Run-log rows, with their end times, that exist before their steps have run.
 PLACEHOLDER_PHASE = "WebMaps"
-PLACEHOLDER_STEPS = ("folium", "mapbox", "turf", "auto_ml", "create_dataframes", "test_maps")
+PLACEHOLDER_STEPS = (
+    ("folium", "2002-03-15 13:59:12.498894"),
+    ("mapbox", "2002-03-15 13:59:12.498894"),
+    ("turf", "2002-03-15 13:59:12.498894"),
+    ("auto_ml", "2002-03-15 13:59:12.498894"),
+    ("create_dataframes", "2024-03-15 13:59:12.498894"),
+    ("test_maps", "2024-03-15 13:59:12.498894"),
+)
 PLACEHOLDER_NUMBER = -1.0
 PLACEHOLDER_START = "2002-05-01 00:00:00"
-PLACEHOLDER_END = "2002-03-15 13:59:12.498894"
 
 # Name of the summary row that the combined run log leaves out.
 TOTAL_STEP = "create_production_tables"

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 
 READING_KEYS = ("the_date", "hours_utc", "cgndb_id")
 READING_KEYS_PER_HOUR = ("the_date", "hours_utc")
+FORECAST_KEYS = ("validity_date", "validity_time_utc", "cgndb_code")
+FORECAST_KEYS_PER_TIME = ("validity_date", "validity_time_utc")
+
+# Of rows staged at the same moment the later file wins, then an amended value and the later period of
+# issue. The measured value decides only between rows that are the same in all else.
+FIRST_TIES = ("src_filename", "amended", "period")
+LAST_TIES = ("air_quality_value", "value")
 
 
 def _newest_first(c: str | Column) -> Column:
@@ -34,6 +41,13 @@ def latest_per_key(
     return df.withColumn("rn", F.row_number().over(ranking)).where("rn = 1").drop("rn")
 
 
+def tie_order(columns: Sequence[str], but: Sequence[str | Column] = ()) -> list[str]:
+    """``columns`` in the order in which they decide between rows of one stamp, without those of ``but``."""
+    names = [c for c in columns if c not in [b for b in but if isinstance(b, str)]]
+    middle = [c for c in names if c not in FIRST_TIES and c not in LAST_TIES]
+    return [*(c for c in FIRST_TIES if c in names), *middle, *(c for c in LAST_TIES if c in names)]
+
+
 def dedupe_readings(
     df: DataFrame,
     keys: Sequence[str] = READING_KEYS,
@@ -44,8 +58,9 @@ def dedupe_readings(
 
     By default each station keeps its reading of the hour. ``READING_KEYS_PER_HOUR`` gives the
     published tables' rule, which keeps a single station per hour. Without a tiebreak argument
-    the remaining columns decide, so the choice is the same on every run.
+    the remaining columns decide, the file first and the value last (:func:`tie_order`), so the
+    choice is the same on every run.
     """
     if tiebreak is None:
-        tiebreak = [c for c in df.columns if c not in keys]
+        tiebreak = tie_order(df.columns, [*keys, *order])
     return latest_per_key(df, keys, order, tiebreak)

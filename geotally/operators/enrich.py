@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from geotally.functions import calendar as cal
 from geotally.operators.clean import insertion_stamp
-from geotally.operators.dedupe import READING_KEYS, dedupe_readings, latest_per_key
+from geotally.operators.dedupe import FORECAST_KEYS, READING_KEYS, dedupe_readings, latest_per_key, tie_order
+
+# Decide between versions of a place with the same decision date.
+PLACE_TIES = ("src_filename", "toponymic_feature_id", "geographical_name", "location", "latitude", "longitude")
 
 DIMENSION_COLUMNS = (
     "cgndb_id",
@@ -70,15 +73,14 @@ def add_calendar(df: DataFrame, date: str = "the_date", padded: bool = False) ->
 
 def newest_places(places: DataFrame, as_of: datetime | Column) -> DataFrame:
     """Gazetteer with the newest row per station id; a row without decision date counts as newest."""
-    others = [c for c in places.columns if c not in ("cgndb_id", "decision_date")]
-    return insertion_stamp(latest_per_key(places, ["cgndb_id"], ["decision_date"], others), as_of)
+    return insertion_stamp(latest_per_key(places, ["cgndb_id"], ["decision_date"], PLACE_TIES), as_of)
 
 
 def combined_readings(
     readings: DataFrame,
     places: DataFrame,
     as_of: datetime | Column,
-    keys: Sequence[str] = READING_KEYS,
+    keys: Sequence[str] | None = READING_KEYS,
     padded: bool = False,
     salts: int = 1,
     places_are_newest: bool = False,
@@ -86,7 +88,7 @@ def combined_readings(
     """Readings with place, calendar, day phase and staging latency.
 
     ``readings`` has the_date, hours_utc, cgndb_id, air_quality_value and lineage columns.
-    ``places_are_newest`` says that ``places`` already went through :func:`newest_places`.
+    Without ``keys`` they have been deduplicated already. ``places_are_newest`` says that ``places`` already went through :func:`newest_places`.
     """
     newest = places if places_are_newest else newest_places(places, as_of)
     dimension = newest.select(
@@ -96,7 +98,7 @@ def combined_readings(
     fact = readings.select(
         "the_date", "hours_utc", "cgndb_id", "air_quality_value", "src_filename", "last_updated"
     )
-    fact = insertion_stamp(dedupe_readings(fact, keys), as_of)
+    fact = insertion_stamp(dedupe_readings(fact, keys) if keys else fact, as_of)
     joined = join_ignoring_case(
         fact, dimension, "cgndb_id", "_place_id", salts, ["the_date", "hours_utc", "air_quality_value", "last_updated"]
     )
@@ -134,6 +136,22 @@ def forecasts_as_readings(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def combined_forecasts(forecasts: DataFrame, places: DataFrame, as_of: datetime | Column, **options) -> DataFrame:
-    """:func:`combined_readings` over staged forecasts."""
-    return combined_readings(forecasts_as_readings(forecasts), places, as_of, **options)
+def newest_forecasts(forecasts: DataFrame, keys: Sequence[str] = FORECAST_KEYS) -> DataFrame:
+    """Newest forecast of each date, time text and station.
+
+    The key is the whole time text, not the hour taken from it later, so forecasts for times within
+    one hour all stay. ``FORECAST_KEYS_PER_TIME`` keeps one station per time, like the published table.
+    """
+    return latest_per_key(forecasts, keys, ["last_updated"], tie_order(forecasts.columns, [*keys, "last_updated"]))
+
+
+def combined_forecasts(
+    forecasts: DataFrame,
+    places: DataFrame,
+    as_of: datetime | Column,
+    keys: Sequence[str] = FORECAST_KEYS,
+    **options,
+) -> DataFrame:
+    """:func:`combined_readings` over staged forecasts, the newest of each key."""
+    newest = forecasts_as_readings(newest_forecasts(forecasts, keys))
+    return combined_readings(newest, places, as_of, keys=None, **options)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import struct
 from collections.abc import Sequence
 
 import numpy as np
@@ -72,15 +71,21 @@ def to_utm17(geom: ColumnOrName) -> Column:
     )
 
 
+_EWKB = np.dtype([("order", "u1"), ("kind", "<u4"), ("srid", "<u4"), ("x", "<f8"), ("y", "<f8")])
+
+
 @F.pandas_udf(StringType())
 def ewkb_hex(geom: pd.DataFrame) -> pd.Series:
     """Extended well-known binary of a point struct, little endian, as upper-case hex."""
     known = geom.notna().all(axis=1)
+    points = np.zeros(int(known.sum()), _EWKB)
+    points["order"], points["kind"] = 1, 1 | 0x20000000  # little endian; a point that has a reference id
+    for name in ("srid", "x", "y"):
+        points[name] = geom.loc[known, name]
+    digits = 2 * _EWKB.itemsize
+    whole = points.tobytes().hex().upper()
     out = pd.Series([None] * len(geom), dtype=object)
-    xy = np.ascontiguousarray(geom.loc[known, ["x", "y"]].to_numpy(dtype="<f8"))
-    # Byte order mark 1, geometry type 1 (point) with the flag for "has a reference id".
-    heads = [struct.pack("<BII", 1, 1 | 0x20000000, int(s)) for s in geom.loc[known, "srid"]]
-    out[known.to_numpy()] = [(head + row.tobytes()).hex().upper() for head, row in zip(heads, xy)]
+    out[known.to_numpy()] = [whole[at : at + digits] for at in range(0, len(whole), digits)]
     return out
 
 

@@ -85,30 +85,20 @@ def daily_frames(
     weight: str,
     latitude: str = "latitude",
     longitude: str = "longitude",
-    max_points: int = 50_000,
 ) -> DataFrame:
-    """Points of each day as lists: (frame_date, part, points), rows with a null left out.
+    """Points of each day: (frame_date, lat, lon, weight, copies), rows with a null left out.
 
-    A day with at most ``max_points`` points is one list. A bigger day is divided into as many
-    parts as that takes, each built by its own task, so no day has to fit into one; the parts
-    together hold every point. Copies of a point are counted before any list is built and written
-    out in pieces of at most ``max_points``, so a day of copies is divided as well.
+    Rows stay long, so no day has to fit into one row and the shape is the same at every size.
+    Copies of a point are counted within each task before the only exchange.
     """
     spot = [F.col(latitude).alias("lat"), F.col(longitude).alias("lon"), F.col(weight).alias("weight")]
     points = drop_any_null(df.select(F.to_date(date).alias("frame_date"), *spot))
-    spots = points.groupBy("frame_date", "lat", "lon", "weight").agg(F.count(F.lit(1)).alias("copies"))
-    # One row per calendar day; Spark sees its true size at run time and picks the join by it.
-    days = spots.groupBy("frame_date").agg(F.ceil(F.sum("copies") / F.lit(max_points)).alias("parts"))
-    pieces = spots.join(days, "frame_date").select(
-        "*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("copies") / F.lit(max_points)) - 1)).alias("piece")
-    )
-    taken = F.least(F.lit(max_points), F.col("copies") - F.col("piece") * F.lit(max_points)).cast("int")
-    part = F.pmod(F.xxhash64("lat", "lon", "weight", "piece"), F.col("parts")).cast("int")
-    listed = pieces.select(
-        "frame_date", part.alias("part"), F.array_repeat(F.struct("lat", "lon", "weight"), taken).alias("copies")
-    )
-    lists = F.sort_array(F.flatten(F.collect_list("copies")))
-    return listed.groupBy("frame_date", "part").agg(lists.alias("points"))
+    return points.groupBy("frame_date", "lat", "lon", "weight").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def in_date_order(frames: DataFrame) -> DataFrame:
+    """Frames as a player reads them, day by day; for the edge, where they are exported."""
+    return frames.orderBy("frame_date", "lat", "lon", "weight")
 
 
 def weekday_charts(df: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from geotally.operators.clean import union_by_name
 from geotally.operators.dedupe import latest_per_key
 from geotally.schemas import RUN_LOG
 
+FAILED = "(failed)"
 LOAD_TIMES = ("chrome_load_time", "firefox_load_time", "safari_load_time")
 
 
@@ -41,14 +42,14 @@ def union_logs(production: DataFrame, stage: DataFrame, leave_out: str = fixed.T
 
 def placeholder_steps(spark: SparkSession) -> DataFrame:
     """Rows for steps that have not run yet."""
-    start, end = (F.lit(t).cast("timestamp_ntz") for t in (fixed.PLACEHOLDER_START, fixed.PLACEHOLDER_END))
+    steps = [F.struct(F.lit(name).alias("name"), F.lit(end).alias("end")) for name, end in fixed.PLACEHOLDER_STEPS]
     number = F.lit(fixed.PLACEHOLDER_NUMBER)
-    return spark.range(1).select(
+    return spark.range(1).select(F.explode(F.array(*steps)).alias("step")).select(
         F.lit(fixed.PLACEHOLDER_PHASE).alias("phase"),
-        F.explode(F.array(*map(F.lit, fixed.PLACEHOLDER_STEPS))).alias("step_name"),
+        F.col("step.name").alias("step_name"),
         number.alias("duration_seconds"),
-        start.alias("start_time"),
-        end.alias("end_time"),
+        F.lit(fixed.PLACEHOLDER_START).cast("timestamp_ntz").alias("start_time"),
+        F.col("step.end").cast("timestamp_ntz").alias("end_time"),
         number.alias("files_processed"),
     )
 
@@ -72,15 +73,22 @@ def add_map_kind(df: DataFrame, path: str, name: str = "map_type") -> DataFrame:
 
 @dataclass
 class StepLog:
-    """Collects one small row per step of a run; :meth:`frame` hands them to Spark."""
+    """Collects one small row per step of a run; :meth:`frame` hands them to Spark.
+
+    A step that fails has a row too, with ``FAILED`` after its phase, and no files processed.
+    """
 
     rows: list[tuple] = field(default_factory=list)
 
     @contextmanager
     def step(self, phase: str, name: str, files: int = 1) -> Iterator[None]:
-        begun, clock = _now(), time.monotonic()
-        yield
-        self.rows.append((phase, name, time.monotonic() - clock, begun, _now(), float(files)))
+        begun, clock, done = _now(), time.monotonic(), False
+        try:
+            yield
+            done = True
+        finally:
+            status = (phase, float(files)) if done else (f"{phase} {FAILED}", 0.0)
+            self.rows.append((status[0], name, time.monotonic() - clock, begun, _now(), status[1]))
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, RUN_LOG)

@@ -16,6 +16,7 @@ from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo,
 from geotally.plans import inputs, warehouse
 from geotally.plans.inputs import AS_OF, Tables
 from geotally.sources import files, links, staging
+from geotally.sources.tables import catalog_tables
 
 
 @dataclass(frozen=True)
@@ -97,8 +98,8 @@ def sql_seconds(later: str, earlier: str) -> str:
 def sql_combined(source: str, keys: str) -> str:
     return f"""WITH newest AS ({SQL_NEWEST_PLACES}),
     kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY last_updated DESC NULLS FIRST,
-        {'cgndb_id DESC NULLS FIRST, ' if 'cgndb_id' not in keys else ''}air_quality_value DESC NULLS FIRST,
-        src_filename DESC NULLS FIRST) AS rn FROM ({source})) WHERE rn = 1)
+        src_filename DESC NULLS FIRST, {'cgndb_id DESC NULLS FIRST, ' if 'cgndb_id' not in keys else ''}
+        air_quality_value DESC NULLS FIRST) AS rn FROM ({source})) WHERE rn = 1)
     SELECT upper(g.cgndb_id) AS cgndb_id, g.latitude, g.longitude, g.province_territory, g."location",
         g.decision_date, g.concise_code, g.generic_category, g.generic_term, g.geographical_name,
         {sql_seconds('g.last_inserted', 'g.last_updated')} AS geo_names_second_from_extraction, m.the_date,
@@ -152,17 +153,18 @@ def latest_null_first(t: Tables) -> DataFrame:
 
 @query(
     """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate DESC NULLS FIRST, l_partkey DESC NULLS FIRST, l_suppkey DESC NULLS FIRST,
-    l_quantity DESC NULLS FIRST, l_extendedprice DESC NULLS FIRST, l_discount DESC NULLS FIRST, l_tax DESC NULLS FIRST,
-    l_returnflag DESC NULLS FIRST, l_linestatus DESC NULLS FIRST) AS rn FROM lineitem) WHERE rn = 1"""
+    ORDER BY l_shipdate DESC NULLS FIRST, l_partkey DESC NULLS FIRST, l_suppkey DESC NULLS FIRST) AS rn FROM lineitem)
+    WHERE rn = 1"""
 )
 def dedupe_composite(t: Tables) -> DataFrame:
-    return dedupe.dedupe_readings(t("lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    keys = ["l_orderkey", "l_linenumber"]
+    return dedupe.dedupe_readings(t("lineitem"), keys, ["l_shipdate"], ["l_partkey", "l_suppkey"])
 
 
 @query(
     f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY the_date, hours_utc
-    ORDER BY last_updated DESC NULLS FIRST, cgndb_id DESC, air_quality_value DESC) AS rn FROM ({SQL_READINGS}))
+    ORDER BY last_updated DESC NULLS FIRST, src_filename DESC, cgndb_id DESC, air_quality_value DESC) AS rn
+    FROM ({SQL_READINGS}))
     WHERE rn = 1"""
 )
 def dedupe_per_hour(t: Tables) -> DataFrame:
@@ -246,17 +248,13 @@ def combined_readings_per_hour(t: Tables) -> DataFrame:
     return enrich.combined_readings(inputs.readings(t), places, AS_OF, keys=dedupe.READING_KEYS_PER_HOUR)
 
 
-@query(
-    sql_combined(
-        """SELECT cast(ts AS date) AS the_date, cast(hour(strptime(strftime(ts, '%H:%M:%S'), '%H:%M:%S')) AS bigint)
-        AS hours_utc, 'st' || user_id AS cgndb_id, cast(floor(value) AS bigint) AS air_quality_value,
-        event_type || '.csv' AS src_filename, ts AS last_updated FROM events""",
-        "the_date, hours_utc, cgndb_id",
-    )
-)
-def combined_forecasts(t: Tables) -> DataFrame:
-    places = staging.conform_geo_names(inputs.raw_gazetteer(t), AS_OF, "http://places")
-    staged = t("events").select(
+SQL_FORECASTS = """SELECT cast(ts AS date) AS the_date, strftime(ts, '%H:%M:%S') AS validity_time_utc,
+    cast(hour(ts) AS bigint) AS hours_utc, 'st' || user_id AS cgndb_id, cast(floor(value) AS bigint) AS air_quality_value,
+    event_type || '.csv' AS src_filename, ts AS last_updated FROM events"""
+
+
+def _staged_forecasts(t: Tables) -> DataFrame:
+    return t("events").select(
         F.concat(F.lit("st"), "user_id").alias("cgndb_code"),
         F.to_date("ts").alias("validity_date"),
         F.date_format("ts", "HH:mm:ss").alias("validity_time_utc"),
@@ -265,7 +263,19 @@ def combined_forecasts(t: Tables) -> DataFrame:
         F.concat("event_type", F.lit(".csv")).alias("src_filename"),
         F.col("ts").alias("last_updated"),
     )
-    return enrich.combined_forecasts(staged, places, AS_OF)
+
+
+@query(sql_combined(SQL_FORECASTS, "the_date, validity_time_utc, cgndb_id"))
+def combined_forecasts(t: Tables) -> DataFrame:
+    places = staging.conform_geo_names(inputs.raw_gazetteer(t), AS_OF, "http://places")
+    return enrich.combined_forecasts(_staged_forecasts(t), places, AS_OF)
+
+
+@query(sql_combined(SQL_FORECASTS, "the_date, validity_time_utc"))
+def combined_forecasts_per_time(t: Tables) -> DataFrame:
+    """One station for each date and time, like the published table."""
+    places = staging.conform_geo_names(inputs.raw_gazetteer(t), AS_OF, "http://places")
+    return enrich.combined_forecasts(_staged_forecasts(t), places, AS_OF, dedupe.FORECAST_KEYS_PER_TIME)
 
 
 SQL_ENRICH_JOIN = """SELECT o_orderkey, lower(c_name) AS order_name, c_name, c_mktsegment FROM orders
@@ -531,10 +541,15 @@ def map_kind(t: Tables) -> DataFrame:
 # Sources.
 
 SQL_LINKS = r"""WITH tags AS (SELECT page_id, url, regexp_extract_all(regexp_replace(html,
-    '(?is)<!--.*?-->|<script\b.*?</script>', '', 'g'), '(?i)<a\s[^>]*>') AS tags FROM pages),
-    hrefs AS (SELECT page_id, url, list_filter(list_transform(tags, lambda x:
-        replace(regexp_extract(x, '(?i)\shref\s*=\s*"([^"]*)"', 1), '&amp;', '&')), lambda h: contains(h, '{0}')) AS hrefs
-        FROM tags)
+    '(?is)<!--.*?-->|<script\b.*?</script>', '', 'g'), '(?i)<a\s(?:"[^"]*"|''[^'']*''|[^>"''])*>') AS tags FROM pages),
+    written AS (SELECT page_id, url, list_transform(tags, lambda x: CASE
+        WHEN regexp_matches(x, '(?i)\shref\s*=\s*"([^"]*)"') THEN regexp_extract(x, '(?i)\shref\s*=\s*"([^"]*)"', 1)
+        WHEN regexp_matches(x, '(?i)\shref\s*=\s*''([^'']*)''') THEN regexp_extract(x, '(?i)\shref\s*=\s*''([^'']*)''', 1)
+        WHEN regexp_matches(x, '(?i)\shref\s*=\s*([^\s"''>]+)') THEN regexp_extract(x, '(?i)\shref\s*=\s*([^\s"''>]+)', 1)
+        END) AS hrefs FROM tags),
+    hrefs AS (SELECT page_id, url, list_filter(list_transform(hrefs, lambda h: replace(replace(replace(replace(replace(replace(
+        h, '&#46;', '.'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&')),
+        lambda h: contains(h, '{0}')) AS hrefs FROM written)
     SELECT page_id, url, link_no, hrefs[link_no] AS href, url || hrefs[link_no] AS download_link
     FROM (SELECT *, unnest(cast(range(1, len(hrefs) + 1) AS int[])) AS link_no FROM hrefs)"""
 
@@ -553,10 +568,33 @@ def extract_links_by_suffix(t: Tables) -> DataFrame:
     """SELECT 'lineitem.parquet' AS file_name, count(*) AS n_rows FROM lineitem UNION ALL
     SELECT 'orders.parquet', count(*) FROM orders"""
 )
-def list_files(t: Tables) -> DataFrame:
+def rows_per_file(t: Tables) -> DataFrame:
     return clean.union_by_name([files.rows_per_file(t("lineitem")), files.rows_per_file(t("orders"))])
 
 
+GIVEN = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}.parquet' AS file_name" for name in GIVEN))
+def list_files(t: Tables) -> DataFrame:
+    """Names of the files in the folder of the tables, from a listing that reads none of them."""
+    listed = files.list_files(t.spark, t.folder, "*.parquet")
+    return listed.select(F.substring_index("path", "/", -1).alias("file_name"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}" for name in ("customer", "orders", "supplier")))
+def catalog_rows(t: Tables) -> DataFrame:
+    """Rows of the tables that a filtered scan of the catalogue finds; the loop is over their names."""
+    t.spark.sql("CREATE DATABASE IF NOT EXISTS given")
+    for name in ("customer", "lineitem", "nation", "orders", "part", "region", "supplier"):
+        t.spark.sql(f"CREATE OR REPLACE VIEW given.{name} AS SELECT * FROM parquet.`{t.folder}/{name}.parquet`")
+    names = [r[0] for r in catalog_tables(t.spark, "given", ["%n%"], ["part"]).collect()]
+    counts = [t.spark.table(f"given.{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for n in names]
+    return clean.union_by_name(counts)
+
+
 @query(
     """SELECT c_custkey, c_name, c_acctbal, c_mktsegment || ', "x"' || chr(10) || 'y' AS note FROM customer"""
 )
@@ -814,24 +852,11 @@ def heat_layer(t: Tables) -> DataFrame:
 
 
 @query(
-    f"""SELECT the_date AS frame_date, 0 AS part, count(*) AS n_points, string_agg(cast(round(latitude * 1000) AS bigint)
-    || ':' || cast(round(-longitude * 1000) AS bigint) || ':' || cast(round(air_quality_value * 100) AS bigint), ','
-    ORDER BY latitude, longitude, air_quality_value) AS points FROM ({SQL_POSITIONED}) GROUP BY the_date"""
+    f"""SELECT the_date AS frame_date, latitude AS lat, longitude AS lon, air_quality_value AS weight, count(*) AS copies
+    FROM ({SQL_POSITIONED}) GROUP BY ALL"""
 )
 def daily_frames(t: Tables) -> DataFrame:
-    frames = layers.daily_frames(inputs.positioned_readings(t), "the_date", "air_quality_value")
-    places = F.transform(
-        "points",
-        lambda p: F.concat_ws(
-            ":",
-            F.round(p["lat"] * 1000).cast("bigint"),
-            F.round(-p["lon"] * 1000).cast("bigint"),
-            F.round(p["weight"] * 100).cast("bigint"),
-        ),
-    )
-    return frames.select(
-        "frame_date", "part", F.size("points").cast("bigint").alias("n_points"), F.array_join(places, ",").alias("points")
-    )
+    return layers.daily_frames(inputs.positioned_readings(t), "the_date", "air_quality_value")
 
 
 @query(
@@ -910,6 +935,77 @@ def horizon_grid_table_wide(t: Tables) -> DataFrame:
     return forecast.horizon_grid(counts, "objectid", "count_date", attributes, "Daily", 30, table_wide=["tcs__"])
 
 
+SQL_TRAINING = f"""SELECT objectid, tcs__, main, latitude, longitude, count_date, f8hr_vehicle_volume,
+    (16 * (instr('0123456789abcdef', h[1]) - 1) + instr('0123456789abcdef', h[2]) - 1) % 5 AS fold
+    FROM (SELECT *, md5(concat_ws('|', objectid, count_date, floor(f8hr_vehicle_volume)::bigint)) AS h FROM ({SQL_COUNTS}))"""
+
+
+def sql_smoothed(category: str) -> str:
+    """Smoothed means of one category, over all rows and over the rows of other folds."""
+    over, label = f"(PARTITION BY {category})", "f8hr_vehicle_volume"
+    fold = f"(PARTITION BY {category}, fold)"
+    return f"""(sum({label}) OVER {over} + 10.0 * prior) / (count(*) OVER {over} + 10.0) AS {category}_mean_all,
+    (sum({label}) OVER {over} - sum({label}) OVER {fold} + 10.0 * prior)
+        / (count(*) OVER {over} - count(*) OVER {fold} + 10.0) AS {category}_mean"""
+
+
+SQL_SETTLED_MEANS = ", ".join(
+    f"printf('%.9e', {c}_mean{part}) AS {c}_mean{part}" for c in ("objectid", "tcs__", "main") for part in ("", "_all")
+)
+
+
+@query(
+    f"""SELECT objectid, count_date, f8hr_vehicle_volume, cast(fold AS int) AS fold, {SQL_SETTLED_MEANS} FROM (
+    SELECT *, {sql_smoothed('objectid')}, {sql_smoothed('tcs__')}, {sql_smoothed('main')}
+    FROM ({SQL_TRAINING}), (SELECT avg(f8hr_vehicle_volume) AS prior FROM ({SQL_COUNTS})))"""
+)
+def forecast_features(t: Tables) -> DataFrame:
+    """Category means to ten digits, whatever order a cluster adds the labels in."""
+    found = forecast.forecast_features(inputs.intersections(t), forecast.traffic_series("f8hr_vehicle_volume"))
+    means = [f"{c}_mean{part}" for c in ("objectid", "tcs__", "main") for part in ("", "_all")]
+    settled = [F.format_string("%.9e", F.col(m)).alias(m) for m in means]
+    return found.select("objectid", "count_date", "f8hr_vehicle_volume", F.col("fold").cast("int").alias("fold"), *settled)
+
+
+SQL_CUT = f"""SELECT min(count_date) AS cut FROM (SELECT count_date, sum(count(*)) OVER (ORDER BY count_date) AS met,
+    max(count_date) OVER () AS last, (SELECT count(*) FROM ({SQL_COUNTS})) AS total FROM ({SQL_COUNTS}) GROUP BY count_date)
+    WHERE met >= 0.8 * total AND count_date < last"""
+
+
+@query(
+    f"""SELECT CASE WHEN count_date <= cut THEN 'older' ELSE 'newest' END AS side, count(*) AS n_rows,
+    min(count_date) AS first_date, max(count_date) AS last_date FROM ({SQL_COUNTS}), ({SQL_CUT}) GROUP BY side"""
+)
+def forecast_split(t: Tables) -> DataFrame:
+    return forecast.forecast_split(inputs.intersections(t), forecast.traffic_series("f8hr_vehicle_volume"))
+
+
+def sql_trend(label: str, predicted: str) -> str:
+    return f"""WITH rows AS (SELECT objectid AS k, {label} AS y, count_date - (SELECT min(count_date) FROM ({SQL_COUNTS})) AS x
+        FROM ({SQL_COUNTS})),
+    lines AS (SELECT k, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base, avg(y) AS mean, count(DISTINCT x) AS days
+        FROM rows GROUP BY k)
+    SELECT objectid, tcs__, main, latitude, longitude, future_date, cast(round_even(CASE WHEN days > 1
+        THEN base + slope * (future_date - (SELECT min(count_date) FROM ({SQL_COUNTS}))) ELSE mean END, 0) AS bigint)
+        AS {predicted}, {EST} AS last_inserted FROM ({sql_grid("s", "to_days(cast(i AS int))")}) JOIN lines ON objectid = k"""
+
+
+@query(sql_trend("f8hr_vehicle_volume", "predicted_traffic"))
+def forecast_trend(t: Tables) -> DataFrame:
+    series = forecast.traffic_series("f8hr_vehicle_volume")
+    return forecast.forecast_trend(inputs.intersections(t), series, "predicted_traffic", AS_OF)
+
+
+SQL_FORECAST_KEYS = f"""SELECT objectid, tcs__, main, latitude, longitude, future_date, {EST} AS last_inserted
+    FROM ({sql_grid("s", "to_days(cast(i AS int))")})"""
+
+
+@query(SQL_FORECAST_KEYS)
+def forecast_volume_keys(t: Tables) -> DataFrame:
+    """All of the forecast table but the fitted numbers."""
+    return forecast_volume(t).drop("predicted_traffic")
+
+
 @query()
 def forecast_volume(t: Tables) -> DataFrame:
     series = forecast.traffic_series("f8hr_vehicle_volume")
@@ -963,14 +1059,29 @@ def run_log_union(t: Tables) -> DataFrame:
     return _steps(t)
 
 
-SQL_PLACEHOLDERS = f"""SELECT 'WebMaps', unnest({list(fixed.PLACEHOLDER_STEPS)}), -1.0::double,
-    TIMESTAMP '2002-05-01 00:00:00', TIMESTAMP '2002-03-15 13:59:12.498894', -1.0::double"""
+# Written out, not taken from the constants, so that the comparison tests those.
+SQL_PLACEHOLDERS = """SELECT 'WebMaps', name, -1.0::double, TIMESTAMP '2002-05-01 00:00:00', ended, -1.0::double FROM (VALUES
+    ('folium', TIMESTAMP '2002-03-15 13:59:12.498894'), ('mapbox', TIMESTAMP '2002-03-15 13:59:12.498894'),
+    ('turf', TIMESTAMP '2002-03-15 13:59:12.498894'), ('auto_ml', TIMESTAMP '2002-03-15 13:59:12.498894'),
+    ('create_dataframes', TIMESTAMP '2024-03-15 13:59:12.498894'),
+    ('test_maps', TIMESTAMP '2024-03-15 13:59:12.498894')) AS steps(name, ended)"""
+
+SQL_MODEL_STEP = """SELECT 'WebMaps', 'auto_ml', count(*)::double, min(ts), max(ts), 1.0::double FROM events"""
 
 
 @query(
     f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY step_name ORDER BY start_time DESC,
     end_time DESC, duration_seconds DESC, files_processed DESC, phase DESC) AS rn FROM ({SQL_LOG}
-    UNION ALL {SQL_PLACEHOLDERS})) WHERE rn = 1"""
+    UNION ALL {SQL_PLACEHOLDERS} UNION ALL {SQL_MODEL_STEP})) WHERE rn = 1"""
 )
 def run_log_latest(t: Tables) -> DataFrame:
-    return runlog.latest_steps(clean.union_by_name([_steps(t), runlog.placeholder_steps(t.spark)]))
+    """The newest entry of each step; that of the model search takes the place of its placeholder."""
+    searched = t("events").select(
+        F.lit(fixed.PLACEHOLDER_PHASE).alias("phase"),
+        F.lit("auto_ml").alias("step_name"),
+        F.count(F.lit(1)).cast("double").alias("duration_seconds"),
+        F.min("ts").alias("start_time"),
+        F.max("ts").alias("end_time"),
+        F.lit(1.0).alias("files_processed"),
+    )
+    return runlog.latest_steps(clean.union_by_name([_steps(t), runlog.placeholder_steps(t.spark), searched]))

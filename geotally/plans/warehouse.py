@@ -111,6 +111,9 @@ class Warehouse:
         self._produce("fact_gta_traffic_proj", geo.add_point(counts, srid=s.point_label), stamped=False)
         chosen = projected_air(air, s.stations, s.point_label)
         chosen = self._produce("fact_air_data_proj", chosen, stamped=False)
+        # Each station should have one position; those with more are listed for whoever runs the job.
+        doubtful = aggregate.stations_with_many_positions(chosen)
+        self._refresh("production", s.stage_schema, "stations_with_many_positions", doubtful)
         value = "air_quality_value"
         station_means = {
             "fact_hourly_avg": aggregate.phase_avg_wide(chosen, STATION_KEYS, "hours_utc", value),
@@ -126,11 +129,13 @@ class Warehouse:
             "f8hr_vehicle_volume": "fact_traffic_forecast",
             "f8hr_pedestrian_volume": "fact_pedestrians_forecast",
         }
-        for label, predicted in forecast.TARGETS.items():
-            ahead = forecast.forecast_volume(
-                counts, forecast.traffic_series(label), predicted, self.settings.as_of, self.settings.forecast
-            )
-            self._refresh("forecast", self.settings.public_schema, names[label], ahead)
+        # These two steps have placeholders in the log, which their entries replace.
+        with self.log.step(fixed.PLACEHOLDER_PHASE, "auto_ml"):
+            for label, predicted in forecast.TARGETS.items():
+                ahead = forecast.forecast_volume(
+                    counts, forecast.traffic_series(label), predicted, self.settings.as_of, self.settings.forecast
+                )
+                self._refresh("forecast", self.settings.public_schema, names[label], ahead)
 
     def _layer_frames(self) -> dict[str, DataFrame]:
         air, counts = self.public("fact_air_data_proj"), self.public("fact_gta_traffic_arcgis")
@@ -156,7 +161,7 @@ class Warehouse:
             built["layer_traffic_heat"] = layers.heat_layer(whole, vehicles)
             built["layer_pedestrian_heat"] = layers.heat_layer(whole, walkers)
         if "frames" in self.settings.layers:
-            built["layer_traffic_frames"] = layers.daily_frames(whole, "count_date", vehicles)
+            built["layer_traffic_frames"] = layers.in_date_order(layers.daily_frames(whole, "count_date", vehicles))
         if "charts" in self.settings.layers:
             means = self.public("fact_weekdays_avg").drop("geom")
             built["layer_weekday_charts"] = layers.weekday_charts(clean.drop_any_null(means), STATION_KEYS)
@@ -177,8 +182,9 @@ class Warehouse:
         return built
 
     def build_layers(self) -> None:
-        for name, df in self._layer_frames().items():
-            self._refresh("layers", self.settings.public_schema, name, df)
+        with self.log.step(fixed.PLACEHOLDER_PHASE, "create_dataframes"):
+            for name, df in self._layer_frames().items():
+                self._refresh("layers", self.settings.public_schema, name, df)
 
     def write_log(self) -> DataFrame:
         """Append this run's steps to the log table's folder and return the newest entry of each step."""
@@ -204,13 +210,15 @@ class Warehouse:
                 sink.write_features(features, f"{folder.rstrip('/')}/geojson/{name}")
 
     def run(self) -> DataFrame:
-        if self.settings.create_tables:
-            self.build_staging()
-            self.build_production()
-        if self.settings.run_forecast:
-            self.build_forecasts()
-        self.build_layers()
-        log = self.write_log()
+        try:
+            if self.settings.create_tables:
+                self.build_staging()
+                self.build_production()
+            if self.settings.run_forecast:
+                self.build_forecasts()
+            self.build_layers()
+        finally:
+            log = self.write_log()
         if self.settings.export_folder:
             self.export()
         return log

@@ -17,18 +17,23 @@ def _live_slot(spark: SparkSession, name: str) -> str | None:
     return row["value"] if row["value"] in ("a", "b") else None
 
 
-def replace_table(df: DataFrame, name: str, root: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def replace_table(
+    df: DataFrame, name: str, root: str, partition_by: Sequence[str] = (), rebalance: bool | None = None
+) -> DataFrame:
     """Write ``df`` as the new content of table ``name`` and return the table.
 
     The rows go to the one of two folders that readers do not use; then the view ``name`` is
     pointed at it, in one catalogue change. Readers see the old or the new content, never none,
-    and a failed write changes nothing. Spark evens out the files, also where one partition value
-    has most of the rows.
+    and a failed write changes nothing. With ``rebalance`` (by default where there are partition values)
+    Spark evens out the files, also where one value has most of the rows; else rows are written by
+    the tasks that made them.
     """
     spark = df.sparkSession
     slot = "b" if _live_slot(spark, name) == "a" else "a"
     path = "/".join([root.rstrip("/"), *name.split("."), slot])
-    df.hint("rebalance", *map(F.col, partition_by)).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    if rebalance if rebalance is not None else bool(partition_by):
+        df = df.hint("rebalance", *map(F.col, partition_by))
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
     spark.sql(

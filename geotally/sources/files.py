@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-import csv
 import io
+import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import DataType, StructType
 
-from geotally.operators.clean import union_by_name
 from geotally.schemas import NUMBER
 
 FILE_NAME = "src_filename"
 ROWS_PER_BATCH = 20_000
+# Names under which other readers know the stores that Spark names so.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def text_options(sep: str) -> dict[str, str]:
@@ -65,17 +66,43 @@ def _open(path: str):
     from pyarrow import fs
 
     uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "://" not in path else path
+    scheme, colon, rest = uri.partition("://")
+    uri = f"{SCHEMES.get(scheme, scheme)}{colon}{rest}" if colon else uri
     filesystem, inner = fs.FileSystem.from_uri(uri)
     return filesystem.open_input_file(inner)
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        headers = []
-        for path in batch["path"]:
-            with io.TextIOWrapper(_open(path), encoding="utf-8-sig") as lines:
-                headers.append(lines.readline().rstrip("\r\n"))
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
+def _cells(line: Column, sep: str) -> Column:
+    """Cells of a line; separators inside quotes do not count, and quotes inside quotes are doubled."""
+    plain = re.escape(sep)
+    outside = plain + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    unquoted = F.transform(
+        F.split(line, outside), lambda c: F.replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), F.lit('""'), F.lit('"'))
+    )
+    return F.when(line.contains('"'), unquoted).otherwise(F.split(line, plain))
+
+
+def _named_cells(spark: SparkSession, path: str, ids: StructType, sep: str, pattern: str) -> tuple[DataFrame, DataFrame]:
+    """(file, cells by column name) of each row of the files, and (file, names) of their headers.
+
+    A header is a line that holds all names of ``ids``. Rows meet the header of their file in a join, so
+    nothing is fetched per file and the plan has as many scans as sides, not files.
+    """
+    text = spark.read.option("pathGlobFilter", pattern).text(path)
+    line = F.regexp_replace("value", "^\ufeff", "").alias("line")
+    lines = text.select(F.col("_metadata.file_path").alias(FILE_NAME), line).where("line <> ''")
+    parted = lines.select(FILE_NAME, _cells(F.col("line"), sep).alias("cells"))
+    is_header = F.forall(F.array(*map(F.lit, ids.names)), lambda name: F.array_contains("cells", name))
+    headers = parted.where(is_header).groupBy(F.col(FILE_NAME).alias("_file")).agg(F.min("cells").alias("names"))
+    rows = parted.where(~is_header).join(headers, F.col(FILE_NAME) == F.col("_file"), "left").drop("_file")
+    wrong = F.raise_error(F.concat(F.lit("no header for, or cells too many or too few, in a row of "), FILE_NAME))
+    fits = F.coalesce(F.size("names") == F.size("cells"), F.lit(False))
+    return rows.select(FILE_NAME, F.when(fits, F.map_from_arrays("names", "cells")).otherwise(wrong).alias("cells")), headers
+
+
+def _typed(cells: Column, name: str | Column, kind: DataType) -> Column:
+    """Cell of a name; blank cells and those of other files are null, and malformed ones stop the job."""
+    return F.nullif(F.trim(F.element_at(cells, name if isinstance(name, Column) else F.lit(name))), F.lit("")).cast(kind)
 
 
 def read_drifting(
@@ -83,25 +110,35 @@ def read_drifting(
 ) -> DataFrame:
     """Files of one kind whose value columns differ from file to file, as one frame by column name.
 
-    ``ids`` are the columns all files share; every other column is a value of ``value_type``. Tasks
-    read the first line of each file; each distinct header becomes one scan, so the plan has as
-    many scans as there are headers, not files. Only file names, which the driver lists anyway to
-    plan a scan, and header lines come to the driver.
+    ``ids`` are the columns all files share; every other column is a value of ``value_type``. Spark reads
+    the lines, so any path works that it can read. Only the distinct column names come to the driver.
     """
-    listed = list_files(spark, path, pattern).select("path")
-    headers = listed.mapInPandas(_first_lines, "path string, header string").where("header <> ''")
-    same_header: dict[str, list[str]] = {}
-    for file, header in headers.collect():
-        same_header.setdefault(header, []).append(file)
-    if not same_header:
+    rows, headers = _named_cells(spark, path, ids, sep, pattern)
+    names = sorted(r[0] for r in headers.select(F.explode("names")).distinct().collect())
+    if not names:
         raise FileNotFoundError(f"no {pattern} files with a header in {path}")
-    known = {f.name: f.dataType for f in ids.fields}
-    frames = []
-    for header in sorted(same_header):
-        names = next(csv.reader([header], delimiter=sep))
-        schema = StructType([StructField(n, known.get(n, value_type)) for n in names])
-        frames.append(read_delimited(spark, sorted(same_header[header]), schema, sep))
-    return union_by_name(frames)
+    values = [n for n in names if n not in ids.names]
+    cells = F.col("cells")
+    return rows.select(
+        *(_typed(cells, f.name, f.dataType).alias(f.name) for f in ids.fields),
+        *(_typed(cells, n, value_type).alias(n) for n in values),
+        FILE_NAME,
+    )
+
+
+def read_drifting_long(
+    spark: SparkSession, path: str, ids: StructType, value_type: DataType = NUMBER, sep: str = ",", pattern: str = "*.csv"
+) -> DataFrame:
+    """The same files with a row for each value that is there: ids, ``station``, ``value`` and the file."""
+    rows, _ = _named_cells(spark, path, ids, sep, pattern)
+    stations = F.filter(F.map_keys("cells"), lambda k: ~k.isin(ids.names))
+    long = rows.withColumn("station", F.explode(stations)).select(
+        *(_typed(F.col("cells"), f.name, f.dataType).alias(f.name) for f in ids.fields),
+        "station",
+        _typed(F.col("cells"), F.col("station"), value_type).alias("value"),
+        FILE_NAME,
+    )
+    return long.where("value IS NOT NULL")
 
 
 def _records(lines: Iterator[str]) -> Iterator[str]:
@@ -118,11 +155,14 @@ def _records(lines: Iterator[str]) -> Iterator[str]:
         yield "".join(held).rstrip("\r\n")
 
 
-def _member_batches(archive: str, stream, suffix: str, header: str) -> Iterator[pd.DataFrame]:
+def _members(stream, suffix: str) -> list[str]:
+    with zipfile.ZipFile(stream) as zipped:
+        return [m for m in zipped.namelist() if m.lower().endswith(suffix)]
+
+
+def _member_batches(archive: str, stream, members: Sequence[str], header: str) -> Iterator[pd.DataFrame]:
     with zipfile.ZipFile(stream) as zipped:
-        for member in zipped.namelist():
-            if not member.lower().endswith(suffix):
-                continue
+        for member in members:
             with io.TextIOWrapper(zipped.open(member), encoding="utf-8-sig", newline="") as lines:
                 records = _records(lines)
                 found = next(records, "").replace('"', "")
@@ -140,7 +180,7 @@ def _member_batches(archive: str, stream, suffix: str, header: str) -> Iterator[
 
 def _parse(records: DataFrame, schema: StructType, sep: str) -> DataFrame:
     parsed = F.from_csv("record", _ddl(schema), text_options(sep))
-    # One archive is unpacked by one task; rebalancing hands its rows to all tasks before they are parsed.
+    # One member is unpacked by one task; rebalancing hands its rows to all tasks before they are parsed.
     rows = records.hint("rebalance").select("archive", "member", parsed.alias("row"))
     return rows.select("row.*", F.concat_ws("!", "archive", "member").alias(FILE_NAME))
 
@@ -163,7 +203,8 @@ def unzip_csv(
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive, data in zip(batch[path], batch[content]):
-                yield from _member_batches(archive, io.BytesIO(data), suffix, header)
+                stream = io.BytesIO(data)
+                yield from _member_batches(archive, stream, _members(stream, suffix), header)
 
     records = archives.select(path, content).mapInPandas(unpack, "archive string, member string, record string")
     return _parse(records, schema, sep)
@@ -177,14 +218,23 @@ def read_zipped_csv(
     suffix: str = ".csv",
     sep: str = ",",
 ) -> DataFrame:
-    """Rows of the delimited members of zip files; tasks stream each archive instead of loading it."""
+    """Rows of the delimited members of zip files; tasks stream single members instead of loading archives."""
     header = sep.join(schema.names)
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for archive in batch["path"]:
                 with _open(archive) as stream:
-                    yield from _member_batches(archive, stream, suffix, header)
+                    yield pd.DataFrame({"archive": archive, "member": _members(stream, suffix)})
 
-    files = list_files(spark, path, pattern).select("path")
-    return _parse(files.mapInPandas(unpack, "archive string, member string, record string"), schema, sep)
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for archive, member in zip(batch["archive"], batch["member"]):
+                with _open(archive) as stream:
+                    yield from _member_batches(archive, stream, [member], header)
+
+    members = list_files(spark, path, pattern).select("path").mapInPandas(look, "archive string, member string")
+    # A fixed number of partitions, so that a few names are still dealt out over all cores.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    records = members.repartition(tasks).mapInPandas(unpack, "archive string, member string, record string")
+    return _parse(records, schema, sep)

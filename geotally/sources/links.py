@@ -9,13 +9,33 @@ from geotally.functions.calendar import ColumnOrName, as_column
 
 # Comments and scripts may hold text that looks like a tag.
 _NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script>"
-_ANCHOR = r"(?i)<a\s[^>]*>"
+# Quoted values may hold a closing bracket.
+_ANCHOR = r"""(?i)<a\s(?:"[^"]*"|'[^']*'|[^>"'])*>"""
+# The named character references that occur in addresses; the ampersand is last, as it begins the others.
+_NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+_NUMERIC = r"(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)"
 _HREFS = (r'(?i)\shref\s*=\s*"([^"]*)"', r"(?i)\shref\s*=\s*'([^']*)'", r"(?i)\shref\s*=\s*([^\s\"'>]+)")
 
 
+def _character(reference: Column) -> Column:
+    """The character that a numeric reference (``&#46;`` or ``&#x2e;``) stands for."""
+    digits = F.regexp_extract(reference, r"([0-9a-fA-F]+);", 1)
+    code = F.when(F.lower(reference).startswith("&#x"), F.conv(digits, 16, 16)).otherwise(F.conv(digits, 10, 16))
+    return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+
+
+def _decoded(text: Column) -> Column:
+    """Text with its character references replaced."""
+    references = F.array_distinct(F.regexp_extract_all(text, F.lit(_NUMERIC), F.lit(1)))
+    out = F.aggregate(references, text, lambda t, r: F.replace(t, r, _character(r)))
+    for name, character in _NAMED:
+        out = F.replace(out, F.lit(name), F.lit(character))
+    return out
+
+
 def _href(tag: Column) -> Column:
     found = [F.when(F.regexp_like(tag, F.lit(p)), F.regexp_extract(tag, p, 1)) for p in _HREFS]
-    return F.replace(F.coalesce(*found), F.lit("&amp;"), F.lit("&"))
+    return _decoded(F.coalesce(*found))
 
 
 def extract_links(

@@ -50,7 +50,29 @@ def test_files_with_different_stations_become_one_frame(spark, air):
         key=repr,
     )
     plan = staged._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation") == 2
+    assert plan.count("Relation") == 2  # the rows and the headers, however many files there are
+
+
+def test_many_files_with_own_headers(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(60):
+        (folder / f"f{k:02}.csv").write_text(f'\ufeffDate,"Hour (UTC)",S{k % 7},T{k}\r\n2024-01-01,{k % 24},"{k}",\r\n')
+    wide = files.read_drifting(spark, str(folder), schemas.AIR_WIDE_IDS)
+    assert wide.count() == 60 and len(wide.columns) == 2 + 7 + 60 + 1
+    assert wide._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    long = files.read_drifting_long(spark, str(folder), schemas.AIR_WIDE_IDS)
+    assert rows(long.select("Hour (UTC)", "station", "value")) == rows(
+        spark.createDataFrame([(k % 24, f"S{k % 7}", float(k)) for k in range(60)], "h int, s string, v double")
+    )
+
+
+def test_rows_that_do_not_fit_their_header_stop_the_job(spark, tmp_path):
+    for name, text in (("few", "Date,Hour (UTC),S\n2024-01-01,1\n"), ("none", "2024-01-01,1,2\n"), ("bad", "Date,Hour (UTC),S\n2024-01-01,1,x\n")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_text(text)
+        with pytest.raises(Exception):
+            files.read_drifting_long(spark, str(tmp_path / name), schemas.AIR_WIDE_IDS).collect()
 
 
 def test_no_files(spark, tmp_path):
@@ -103,6 +125,26 @@ def test_zipped_rows(spark, zipped):
         files.read_zipped_csv(spark, str(zipped), schemas.table(("other", schemas.TEXT))).collect()
 
 
+def test_a_plain_write_moves_no_rows(spark, air, tmp_path):
+    from geotally.sources.files import read_delimited
+
+    schema = schemas.table(("a", schemas.WHOLE), ("b", schemas.TEXT))
+    (tmp_path / "n.csv").write_text("a,b\n1,x\n")
+    staged = read_delimited(spark, str(tmp_path / "n.csv"), schema)
+    assert "Exchange" not in staged._jdf.queryExecution().executedPlan().toString()
+    written = sink.replace_table(staged.drop("src_filename"), "demo.plain", str(tmp_path / "plain"))
+    assert rows(written) == [(1, "x")]
+
+
+def test_links_with_quoted_brackets_and_references(spark):
+    from geotally.sources.links import extract_links
+
+    html = """<a title="a>b" href="x.csv"> <a href='p&#46;csv?a=1&amp;b=2'> <a href=q&#x2E;csv> <a href="r&amp;#46;csv">"""
+    pages = spark.createDataFrame([(1, "u/", html)], "page_id int, url string, html string")
+    assert [r.href for r in extract_links(pages).collect()] == ["x.csv", "p.csv?a=1&b=2", "q.csv"]
+    assert [r.href for r in extract_links(pages, containing="r").collect()] == ["r&#46;csv"]
+
+
 def test_replace_table_keeps_readers_served(spark, tmp_path):
     root = str(tmp_path / "tables")
     first = sink.replace_table(spark.range(3), "demo.t", root)

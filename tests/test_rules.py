@@ -328,7 +328,42 @@ def test_run_log(spark):
     assert sorted(r[:3] for r in rows(log)) == [("production", "a.sql", 1.0), ("production", "a.sql", 2.0), ("stage", "load", 3.0)]
     latest = runlog.latest_steps(clean.union_by_name([log, runlog.placeholder_steps(spark)]))
     seconds = {r["step_name"]: r["duration_seconds"] for r in latest.collect()}
-    assert seconds == {"a.sql": 2.0, "load": 3.0, **dict.fromkeys(fixed.PLACEHOLDER_STEPS, -1.0)}
+    assert seconds == {"a.sql": 2.0, "load": 3.0, **dict.fromkeys([n for n, _ in fixed.PLACEHOLDER_STEPS], -1.0)}
     done = spark.createDataFrame([("maps", "turf", 4.0, t0, t1, 9.0)], log.schema)
     again = runlog.latest_steps(clean.union_by_name([runlog.placeholder_steps(spark), done]))
     assert {r["step_name"]: r["duration_seconds"] for r in again.collect()}["turf"] == 4.0
+
+
+def test_failed_steps_are_logged(spark):
+    log = runlog.StepLog()
+    with log.step("stage", "good", 3):
+        pass
+    with pytest.raises(ZeroDivisionError), log.step("stage", "bad", 3):
+        1 / 0
+    got = [(r["phase"], r["step_name"], r["files_processed"]) for r in log.frame(spark).collect()]
+    assert got == [("stage", "good", 3.0), ("stage (failed)", "bad", 0.0)]
+
+
+def test_later_file_wins_over_higher_value(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    readings = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), 5, "a", 9.0, "f1.csv", t0), (dt.date(2024, 1, 1), 5, "a", 2.0, "f2.csv", t0)],
+        "the_date date, hours_utc int, cgndb_id string, air_quality_value double, src_filename string, last_updated timestamp_ntz",
+    )
+    assert [r["air_quality_value"] for r in dedupe.dedupe_readings(readings).collect()] == [2.0]
+
+
+def test_forecasts_are_kept_by_time_text(spark):
+    day, t0 = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1)
+    schema = "cgndb_code string, validity_date date, validity_time_utc string, period int, value bigint, amended int, download_link string, src_filename string, last_updated timestamp_ntz"
+    staged = spark.createDataFrame(
+        [
+            ("a", day, "05:00:00", 1, 3, 0, "u", "f1.csv", t0),
+            ("a", day, "05:30:00", 1, 4, 0, "u", "f1.csv", t0),
+            ("b", day, "05:00:00", 1, 5, 0, "u", "f1.csv", t0),
+            ("a", day, "05:00:00", 1, 1, 1, "u", "f1.csv", t0),
+        ],
+        schema,
+    )
+    assert sorted(r["value"] for r in enrich.newest_forecasts(staged).collect()) == [1, 4, 5]
+    assert len(enrich.newest_forecasts(staged, dedupe.FORECAST_KEYS_PER_TIME).collect()) == 2

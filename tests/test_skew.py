@@ -27,24 +27,14 @@ def skewed(spark):
     )
 
 
-def test_big_days_are_divided_and_whole(skewed):
-    frames = layers.daily_frames(skewed, "d", "w", max_points=100)
-    got, sizes = Counter(), []
-    for r in frames.collect():
-        sizes.append(len(r["points"]))
-        assert r["points"] == sorted(r["points"])
-        got.update((r["frame_date"], *p) for p in r["points"])
-    want = Counter((r["d"], r["latitude"], r["longitude"], float(r["w"])) for r in skewed.collect())
-    assert got == want
-    # 1000 copies of one point on a day of 2000: ten pieces of 100 next to the other points.
-    assert max(sizes) <= 500
-    assert len(sizes) > 50
-
-
-def test_small_days_are_one_list(skewed):
+def test_frames_have_one_shape_and_every_point(skewed):
     frames = layers.daily_frames(skewed, "d", "w")
-    assert {r["part"] for r in frames.collect()} == {0}
-    assert frames.count() == skewed.select("d").distinct().count()
+    got = Counter({(r["frame_date"], r["lat"], r["lon"], r["weight"]): r["copies"] for r in frames.collect()})
+    assert got == Counter((r["d"], r["latitude"], r["longitude"], float(r["w"])) for r in skewed.collect())
+    final = plan(frames).split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "partial_count" in final
+    dates = [r["frame_date"] for r in layers.in_date_order(frames).collect()]
+    assert dates == sorted(dates)
 
 
 def test_incomplete_points_are_left_out(spark):
@@ -52,7 +42,7 @@ def test_incomplete_points_are_left_out(spark):
         [(dt.date(2024, 1, 1), 1.0, 2.0, 3.0), (dt.date(2024, 1, 1), None, 2.0, 3.0), (None, 1.0, 2.0, 3.0)],
         "d date, latitude double, longitude double, w double",
     )
-    assert [len(r["points"]) for r in layers.daily_frames(df, "d", "w").collect()] == [1]
+    assert [r["copies"] for r in layers.daily_frames(df, "d", "w").collect()] == [1]
 
 
 def test_newest_row_cuts_groups_before_the_exchange(skewed):

@@ -64,7 +64,7 @@ def landing(tmp_path_factory):
 
 
 def build(spark, landing, root, **changes):
-    changes.setdefault("forecast", ForecastSettings(horizon=3, budget_seconds=1))
+    changes.setdefault("forecast", ForecastSettings(horizon=3, forest_trees=2, boosting_rounds=1, tree_depth=2))
     settings = JobSettings({k: str(v) for k, v in landing.items()}, str(root), AS_OF, **changes)
     warehouse = Warehouse(spark, settings)
     log = warehouse.run()
@@ -111,9 +111,11 @@ def test_build_and_build_again(spark, landing, tmp_path):
         ]
     assert public("layer_traffic_markers").count() == 80
     assert public("layer_predicted_traffic_markers").count() == 240
-    assert sum(len(r["points"]) for r in public("layer_traffic_frames").collect()) == 80
+    assert sum(r["copies"] for r in public("layer_traffic_frames").collect()) == 80
     seconds = {r["step_name"]: r["duration_seconds"] for r in log.collect()}
-    assert seconds["turf"] == -1 and seconds["fact_hourly_avg"] > 0 and seconds["stg_geo_names"] > 0
+    assert seconds["turf"] == -1 and seconds["auto_ml"] > 0 and seconds["create_dataframes"] > 0
+    assert warehouse.stage("stations_with_many_positions").count() == 0
+    assert seconds["fact_hourly_avg"] > 0 and seconds["stg_geo_names"] > 0
     assert (tmp_path / "export" / "fact_hourly_avg").exists()
 
     # A second run with a copy of every air file changes no production table but the file names.
@@ -149,7 +151,7 @@ def test_settings_are_checked():
     with pytest.raises(ValueError):
         ForecastSettings(horizon=0)
     with pytest.raises(ValueError):
-        ForecastSettings(budget_seconds=-1)
+        ForecastSettings(frequency="never")
     with pytest.raises(ValueError):
         ForecastSettings(frequency="sometimes")
     assert ForecastSettings(frequency="hourly").code == "h"
