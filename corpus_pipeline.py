@@ -15,7 +15,7 @@ from geotally.llm.common import table, written
 from geotally.llm.queries import TOKENIZER
 
 #: Near-duplicates have five-word shingles and fingerprints that differ in this many of 64 bits at most.
-NEAR_WORDS, NEAR_BITS = 5, 6
+NEAR_WORDS, NEAR_BITS = 5, 8
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
