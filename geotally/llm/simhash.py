@@ -25,8 +25,8 @@ BITS = 64
 SEED = 42
 #: Cost of one row that is filed or probes, measured in verified candidates.
 ROW_COST = 50.0
-#: Radius of the first search; a wider one follows between the components of the first.
-FIRST_RADIUS = 3
+#: The radius grows in steps of so many bits; each search is between the components of the one before.
+RADIUS_STEP = 3
 
 
 def fingerprint(text: str | None, words: int) -> int:
@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 3, id_col: st
     marked = written(fingerprints(docs, words, id_col, text_col), "fingerprints")
     classes = written(marked.groupBy("fp").agg(F.min("id").alias("comp")), "classes")
     n, pairs = classes.count(), bit_pairs(classes)
-    for step in sorted({min(FIRST_RADIUS, radius), radius}):
+    for step in [*range(RADIUS_STEP, radius, RADIUS_STEP), radius]:
         found = components(linked(classes, chosen_partitions(n, pairs, step), step))
         joined = classes.join(found, classes.comp == found.id, "left")
         classes = written(joined.select("fp", F.coalesce("component_id", "comp").alias("comp")), "classes")
