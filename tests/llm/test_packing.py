@@ -1,3 +1,4 @@
+import functools
 from collections import defaultdict
 
 import numpy as np
@@ -5,16 +6,21 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from geotally.llm.packing import Packer, pack
+from geotally.llm.packing import Encoder, Packer, pack
 from tests.llm.helpers import ODD_TEXTS, clashing, docs
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def ids_of(text):
+@functools.cache
+def tokenizer():
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = True
-    return [*t.encode(text or "", add_special_tokens=False).ids, 1]
+    return t
+
+
+def ids_of(text):
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def check(pieces, wanted, length):
@@ -51,6 +57,19 @@ def test_empty_table_and_null_texts(spark):
     assert (p.start, p.length, p.doc_tokens, p.offset, p.ids) == (0, 1, 1, 0, b"\1\0\0\0")
 
 
+def test_ids_of_the_fast_library_are_those_of_the_tokenizer():
+    texts = [t or "" for t in ODD_TEXTS] + [
+        "a  b", "a   b", "a\t b", "a \tb", "a\t\tb c", " lead", "  lead", "trail ", "trail  ", "\n\n x", "x \n y", "x\n y\n\n z", "it's we'll 've 's",
+        "a\x1c b", "!\x1c? x", "a\u00a0 b c", "a \u00a0b", "\u3000 x y", "12 345,6 7.8 !!! ??", "<|endoftext|> a<|endoftext|>b", "a\x85 b", "\ufeff a b", "e\u0301 \u0301",
+    ]
+    rng = np.random.default_rng(0)
+    texts += ["".join(rng.choice(list("abS' \n\t!1\u00a0\x1cé²ª\u0301\u3000日\U0001f600"), 30)) for _ in range(2000)]
+    texts += ["x" * 3000, " " * 3000 + "a", "日本語 テスト", "ⅷ ① ² ʼn ǅ ª", "\x00\x01"]
+    encoder = Encoder(PATH)
+    for t in texts:
+        assert [*encoder.ids(t), 1] == ids_of(t), repr(t)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_best_level_has_the_least_sum_of_squares(seed):
     rng = np.random.default_rng(seed)
