@@ -53,9 +53,11 @@ def repeated_units(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str
     """
     found = written(hashed_units(docs, least_words, id_col, text_col), "units")
     place = F.struct("id", "start")
-    shared = found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = found.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    # Written, so that both sides of the join have an exchange of their own, which can be split at a hot digest.
+    shared = written(counted.where("n > 1").drop("n"), "shared")
     return (
-        found.join(shared.drop("n"), "digest")
+        found.join(shared, "digest")
         .where(~place.eqNullSafe(F.col("first")))
         .select(F.col("id").alias(id_col), "start", "end", "n_words", F.col("first.id").alias(f"keep_{id_col}"), F.col("first.start").alias("keep_start"))
     )
