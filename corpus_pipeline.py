@@ -10,12 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotally.llm import decontamination, exact_dedup, packing, quality_crf, simhash
+from geotally.llm import decontamination, exact_dedup, near_dedup, packing, quality_crf
 from geotally.llm.common import table, written
 from geotally.llm.queries import TOKENIZER
 
-#: Near-duplicates have five-word shingles and fingerprints that differ in this many of 64 bits at most.
-NEAR_WORDS, NEAR_BITS = 5, 8
+#: Near-duplicates share this much of their five-word shingles (Jaccard) at least.
+NEAR_WORDS, NEAR_SHARE = 5, 0.8
+#: Fingerprints that differ in this many of 64 bits at most give the first candidates; the result does not depend on it.
+NEAR_BITS = 8
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -36,8 +38,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the smallest id."""
-    found = simhash.near_duplicates(docs, words=NEAR_WORDS, radius=NEAR_BITS)
-    return _without(docs, found.where("doc_id != component_id"))
+    return near_dedup.without_near_duplicates(docs, words=NEAR_WORDS, radius=NEAR_BITS, least=NEAR_SHARE)
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

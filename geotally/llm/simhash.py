@@ -29,18 +29,26 @@ ROW_COST = 50.0
 RADIUS_STEP = 3
 
 
-def fingerprint(text: str | None, words: int) -> int:
-    """SimHash of the shingles of ``words`` words, repeats included; 0 for a text without words."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Hashes of the shingles of ``words`` words in their order, repeats included; a shorter text is one shingle, a blank one none."""
     parts = (text or "").encode().lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(parts)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     ends = np.cumsum(sizes + 1) - 1
     n = max(1, len(parts) - words + 1)
     froms, tos = (ends - sizes)[:n].tolist(), ends[min(words, len(parts)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in zip(froms, tos, strict=True)], np.uint64)
+    return np.array([digest(line[a:b], SEED) for a, b in zip(froms, tos, strict=True)], np.uint64)
+
+
+def fingerprint(text: str | None, words: int) -> int:
+    """SimHash of the shingles of ``words`` words, repeats included; 0 for a text without words."""
+    hashes = shingle_hashes(text, words)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(BITS, np.int64)
     for at in range(0, n, 255):  # sums of up to 255 bits fit one byte
         bits = np.unpackbits(hashes[at : at + 255].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -179,6 +187,17 @@ def linked(classes: DataFrame, partitions: list[tuple[list[int], int]], radius:
     return joined.select(F.col("comp").alias("a"), F.col("comp2").alias("b"))
 
 
+def fingerprint_components(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, comp): each fingerprint of ``marked`` (id, fp) once, with the smallest id that it reaches."""
+    classes = written(marked.groupBy("fp").agg(F.min("id").alias("comp")), "classes")
+    n, pairs = classes.count(), bit_pairs(classes)
+    for step in [*range(RADIUS_STEP, radius, RADIUS_STEP), radius]:
+        found = components(linked(classes, chosen_partitions(n, pairs, step), step))
+        joined = classes.join(found, classes.comp == found.id, "left")
+        classes = written(joined.select("fp", F.coalesce("component_id", "comp").alias("comp")), "classes")
+    return classes
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint, component_id), one row per row of ``docs``.
 
@@ -189,12 +208,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, radius: int = 3, id_col: st
     the component of its fingerprint.
     """
     marked = written(fingerprints(docs, words, id_col, text_col), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("id").alias("comp")), "classes")
-    n, pairs = classes.count(), bit_pairs(classes)
-    for step in [*range(RADIUS_STEP, radius, RADIUS_STEP), radius]:
-        found = components(linked(classes, chosen_partitions(n, pairs, step), step))
-        joined = classes.join(found, classes.comp == found.id, "left")
-        classes = written(joined.select("fp", F.coalesce("component_id", "comp").alias("comp")), "classes")
+    classes = fingerprint_components(marked, radius)
     named = classes.select(F.col("fp").alias("class_fp"), F.col("comp").alias("component_id"))
     return marked.join(named, marked.fp == named.class_fp).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
