@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotally.llm import chat, decontamination, exact_dedup, language_id, line_dedup, packing, pii, quality_crf, simhash, toxicity
+from geotally.llm import (
+    chat,
+    conversation_repair,
+    decontamination,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    packing,
+    pii,
+    quality_crf,
+    simhash,
+    toxicity,
+)
 from geotally.llm.common import table
 
 
@@ -72,6 +84,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans", "items")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damaged(rows), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
@@ -83,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
