@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from geotally.llm import (
     chat,
+    collocations,
     conversation_repair,
     decontamination,
     exact_dedup,
@@ -19,6 +20,7 @@ from geotally.llm import (
     pii,
     quality_crf,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from geotally.llm.common import table
@@ -84,6 +86,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans", "items")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest_of_kept(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return conversation_repair.repair_report(conversation_repair.damaged(rows), rows)
@@ -100,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_collocations": op12_collocations,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
@@ -173,5 +185,65 @@ WITH d AS (
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
+""",
+    "op11_suffix_dedup": r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT doc_id, unnest(range(0, len(h) // 2 - 199)) AS at, h FROM d WHERE len(h) >= 400
+), w AS (
+  SELECT doc_id, at, md5(substr(h, 2 * at + 1, 400)) AS m FROM s
+), r AS (
+  SELECT doc_id, at FROM w QUALIFY count(*) OVER (PARTITION BY m) > 1
+), e AS (
+  SELECT doc_id, at, at - lag(at, 1, -1000) OVER (PARTITION BY doc_id ORDER BY at) > 200 AS fresh FROM r
+), g AS (
+  SELECT doc_id, at, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY at) AS run FROM e
+), x AS (
+  SELECT doc_id, run, min(at) AS a, max(at) + 200 AS z FROM g GROUP BY doc_id, run
+), k AS (
+  SELECT d.doc_id, d.h, coalesce(a, 0) AS a, coalesce(z, 0) AS z, x.run, lag(z, 1, 0) OVER (PARTITION BY d.doc_id ORDER BY a) AS before
+  FROM d LEFT JOIN x USING (doc_id)
+), t AS (
+  SELECT doc_id, any_value(h) AS h, count(run) AS n_spans, sum(z - a)::BIGINT AS n_removed, max(z) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM k GROUP BY doc_id
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, n_removed, n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * last + 1))) AS kept_sha256 FROM t
+""",
+    "op12_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), n AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM w, range(1, 6) AS sizes(k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), s AS (
+  SELECT lang, k, phrase, a, j, array_to_string(w[1 : j], ' ') AS head, array_to_string(w[j + 1 : k], ' ') AS tail
+  FROM c, range(1, 5) AS cuts(j) WHERE j < k
+), x AS (
+  SELECT s.lang, s.k, s.phrase, s.a, s.j, h.a AS l, t.a AS r, n.n,
+    (1000::HUGEINT * s.a * n.n // (h.a::HUGEINT * t.a))::BIGINT AS score
+  FROM s JOIN f h ON h.lang = s.lang AND h.phrase = s.head AND h.k = s.j
+  JOIN f t ON t.lang = s.lang AND t.phrase = s.tail AND t.k = s.k - s.j JOIN n ON n.lang = s.lang
+), b AS (
+  SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT c.lang, array_to_string(c.w[i : i + m - 1], ' ') AS phrase, max(c.a) AS longer
+  FROM c, range(2, 5) AS sizes(m), range(1, 5) AS places(i) WHERE m < c.k AND i + m - 1 <= c.k GROUP BY 1, 2
+), kept AS (
+  SELECT b.* FROM b LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
 """,
 }
