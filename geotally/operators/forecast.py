@@ -164,13 +164,15 @@ def category_means(cells: DataFrame, series: Series) -> CategoryMeans:
     return CategoryMeans(sizes[0] / sizes[1], tables)
 
 
-def encode_categories(rows: DataFrame, means: CategoryMeans) -> DataFrame:
+def encode_categories(rows: DataFrame, means: CategoryMeans, whole: bool = False) -> DataFrame:
     """Add the smoothed mean label of each category's value.
 
     Rows with a ``_fold`` are training rows and leave their own fold out, so that a row does not
-    see its own label. Values not seen in training get the overall mean.
+    see its own label; ``whole`` adds the mean over all folds from the same join. Values not seen in
+    training get the overall mean.
     """
     prior = F.lit(means.prior)
+    of_all = (F.col("_total") + F.lit(SMOOTHING) * prior) / (F.col("_rows") + F.lit(SMOOTHING))
     total, count = F.col("_total"), F.col("_rows")
     helpers = ["_category", "_total", "_rows"]
     if "_fold" in rows.columns:
@@ -181,7 +183,10 @@ def encode_categories(rows: DataFrame, means: CategoryMeans) -> DataFrame:
     for category, sums in means.sums.items():
         needed = sums if "_sums" in helpers else sums.drop("_sums", "_counts")
         joined = rows.join(needed, F.col(category) == F.col("_category"), "left")
-        rows = joined.withColumn(f"{category}_mean", F.coalesce(mean, prior)).drop(*helpers)
+        found = {f"{category}_mean": F.coalesce(mean, prior)}
+        if whole:
+            found[f"{category}_mean_all"] = F.coalesce(of_all, prior)
+        rows = joined.withColumns(found).drop(*helpers)
     return rows
 
 
@@ -364,9 +369,7 @@ def forecast_features(df: DataFrame, series: Series) -> DataFrame:
     """Training rows with the mean of each category: over all rows, and over the rows of other folds."""
     rows = _training_rows(df, series)
     means = category_means(category_cells(rows, series), series)
-    plain = encode_categories(rows.withColumnRenamed("_fold", "fold"), means)
-    whole = plain.withColumnsRenamed({f"{c}_mean": f"{c}_mean_all" for c in series.categories} | {"fold": "_fold"})
-    return encode_categories(whole, means).withColumnRenamed("_fold", "fold")
+    return encode_categories(rows, means, whole=True).withColumnRenamed("_fold", "fold")
 
 
 def forecast_split(df: DataFrame, series: Series) -> DataFrame:

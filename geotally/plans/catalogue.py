@@ -12,7 +12,7 @@ from geotally import fixed_values as fixed
 from geotally import schemas
 from geotally.functions import calendar as cal
 from geotally.functions import text
-from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, reshape, runlog
+from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, model_search, reshape, runlog
 from geotally.plans import inputs, warehouse
 from geotally.plans.inputs import AS_OF, Tables
 from geotally.sources import files, links, staging
@@ -935,14 +935,15 @@ def horizon_grid_table_wide(t: Tables) -> DataFrame:
     return forecast.horizon_grid(counts, "objectid", "count_date", attributes, "Daily", 30, table_wide=["tcs__"])
 
 
-SQL_TRAINING = f"""SELECT objectid, tcs__, main, latitude, longitude, count_date, f8hr_vehicle_volume,
+def sql_training(label: str) -> str:
+    return f"""SELECT objectid, tcs__, main, latitude, longitude, count_date, {label},
     (16 * (instr('0123456789abcdef', h[1]) - 1) + instr('0123456789abcdef', h[2]) - 1) % 5 AS fold
-    FROM (SELECT *, md5(concat_ws('|', objectid, count_date, floor(f8hr_vehicle_volume)::bigint)) AS h FROM ({SQL_COUNTS}))"""
+    FROM (SELECT *, md5(concat_ws('|', objectid, count_date, floor({label})::bigint)) AS h FROM ({SQL_COUNTS}))"""
 
 
-def sql_smoothed(category: str) -> str:
+def sql_smoothed(category: str, label: str) -> str:
     """Smoothed means of one category, over all rows and over the rows of other folds."""
-    over, label = f"(PARTITION BY {category})", "f8hr_vehicle_volume"
+    over = f"(PARTITION BY {category})"
     fold = f"(PARTITION BY {category}, fold)"
     return f"""(sum({label}) OVER {over} + 10.0 * prior) / (count(*) OVER {over} + 10.0) AS {category}_mean_all,
     (sum({label}) OVER {over} - sum({label}) OVER {fold} + 10.0 * prior)
@@ -954,17 +955,28 @@ SQL_SETTLED_MEANS = ", ".join(
 )
 
 
-@query(
-    f"""SELECT objectid, count_date, f8hr_vehicle_volume, cast(fold AS int) AS fold, {SQL_SETTLED_MEANS} FROM (
-    SELECT *, {sql_smoothed('objectid')}, {sql_smoothed('tcs__')}, {sql_smoothed('main')}
-    FROM ({SQL_TRAINING}), (SELECT avg(f8hr_vehicle_volume) AS prior FROM ({SQL_COUNTS})))"""
-)
-def forecast_features(t: Tables) -> DataFrame:
+def sql_features(label: str) -> str:
+    smoothed = ", ".join(sql_smoothed(c, label) for c in ("objectid", "tcs__", "main"))
+    return f"""SELECT objectid, count_date, {label}, cast(fold AS int) AS fold, {SQL_SETTLED_MEANS} FROM (
+    SELECT *, {smoothed} FROM ({sql_training(label)}), (SELECT avg({label}) AS prior FROM ({SQL_COUNTS})))"""
+
+
+def _features(t: Tables, label: str) -> DataFrame:
     """Category means to ten digits, whatever order a cluster adds the labels in."""
-    found = forecast.forecast_features(inputs.intersections(t), forecast.traffic_series("f8hr_vehicle_volume"))
+    found = forecast.forecast_features(inputs.intersections(t), forecast.traffic_series(label))
     means = [f"{c}_mean{part}" for c in ("objectid", "tcs__", "main") for part in ("", "_all")]
     settled = [F.format_string("%.9e", F.col(m)).alias(m) for m in means]
-    return found.select("objectid", "count_date", "f8hr_vehicle_volume", F.col("fold").cast("int").alias("fold"), *settled)
+    return found.select("objectid", "count_date", label, F.col("fold").cast("int").alias("fold"), *settled)
+
+
+@query(sql_features("f8hr_vehicle_volume"))
+def forecast_features(t: Tables) -> DataFrame:
+    return _features(t, "f8hr_vehicle_volume")
+
+
+@query(sql_features("f8hr_pedestrian_volume"))
+def forecast_pedestrians_features(t: Tables) -> DataFrame:
+    return _features(t, "f8hr_pedestrian_volume")
 
 
 SQL_CUT = f"""SELECT min(count_date) AS cut FROM (SELECT count_date, sum(count(*)) OVER (ORDER BY count_date) AS met,
@@ -996,6 +1008,12 @@ def forecast_trend(t: Tables) -> DataFrame:
     return forecast.forecast_trend(inputs.intersections(t), series, "predicted_traffic", AS_OF)
 
 
+@query(sql_trend("f8hr_pedestrian_volume", "predicted_pedestrians"))
+def forecast_pedestrians_trend(t: Tables) -> DataFrame:
+    series = forecast.traffic_series("f8hr_pedestrian_volume")
+    return forecast.forecast_trend(inputs.intersections(t), series, "predicted_pedestrians", AS_OF)
+
+
 SQL_FORECAST_KEYS = f"""SELECT objectid, tcs__, main, latitude, longitude, future_date, {EST} AS last_inserted
     FROM ({sql_grid("s", "to_days(cast(i AS int))")})"""
 
@@ -1024,6 +1042,73 @@ def forecast_leaderboard(t: Tables) -> DataFrame:
     return forecast.forecast_leaderboard(inputs.intersections(t), series)
 
 
+@query(SQL_FORECAST_KEYS)
+def forecast_pedestrians_keys(t: Tables) -> DataFrame:
+    """All of the second target's forecast table but the fitted numbers."""
+    return forecast_pedestrians(t).drop("predicted_pedestrians")
+
+
+# Model search on time-ordered folds.
+
+SQL_FOLD_ENDS = f"""SELECT percent, min(count_date) AS ends FROM (SELECT count_date, sum(count(*)) OVER (ORDER BY count_date) AS met,
+    (SELECT count(*) FROM ({SQL_COUNTS})) AS total FROM ({SQL_COUNTS}) GROUP BY count_date), (VALUES (40), (60), (80), (100)) p(percent)
+    WHERE 100 * met >= percent * total GROUP BY percent"""
+
+SQL_FOLD_OF = f"""cast((SELECT count(DISTINCT ends) FROM ({SQL_FOLD_ENDS}) WHERE ends < count_date) AS int)"""
+
+
+@query(
+    f"""WITH parts AS (SELECT {SQL_FOLD_OF} AS fold, count(*) AS n, min(count_date) AS first, max(count_date) AS last
+        FROM ({SQL_COUNTS}) GROUP BY 1)
+    SELECT fold, cast(sum(n) OVER earlier AS bigint) AS n_train, n AS n_test, max(last) OVER earlier AS train_last,
+        first AS test_first, last AS test_last FROM parts
+    WINDOW earlier AS (ORDER BY fold ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) QUALIFY fold > 0"""
+)
+def forecast_folds(t: Tables) -> DataFrame:
+    return model_search.folds(inputs.intersections(t), forecast.traffic_series("f8hr_vehicle_volume"))
+
+
+def sql_trend_errors(label: str) -> str:
+    return f"""WITH counted AS (SELECT objectid AS k, {label} AS y, {SQL_FOLD_OF} AS fold,
+        count_date - (SELECT min(count_date) FROM ({SQL_COUNTS})) AS x FROM ({SQL_COUNTS})),
+    asked AS (SELECT DISTINCT fold AS ahead FROM counted WHERE fold > 0),
+    lines AS (SELECT ahead, k, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base, avg(y) AS mean, count(DISTINCT x) AS days
+        FROM counted, asked WHERE fold < ahead GROUP BY ALL),
+    overall AS (SELECT ahead, avg(y) AS mean FROM counted, asked WHERE fold < ahead GROUP BY ahead),
+    wrong AS (SELECT c.fold, CASE WHEN days > 1 THEN base + slope * x ELSE coalesce(l.mean, o.mean) END - y AS e FROM counted c
+        JOIN overall o ON o.ahead = c.fold LEFT JOIN lines l ON l.ahead = c.fold AND l.k = c.k)
+    SELECT fold, count(*) AS n_test, printf('%.6e', sqrt(avg(e * e))) AS rmse, printf('%.6e', avg(abs(e))) AS mae
+    FROM wrong GROUP BY fold"""
+
+
+def _trend_errors(t: Tables, label: str) -> DataFrame:
+    found = model_search.trend_errors(inputs.intersections(t), forecast.traffic_series(label))
+    return found.select("fold", "n_test", *(F.format_string("%.6e", F.col(c)).alias(c) for c in ("rmse", "mae")))
+
+
+@query(sql_trend_errors("f8hr_vehicle_volume"))
+def forecast_trend_errors(t: Tables) -> DataFrame:
+    return _trend_errors(t, "f8hr_vehicle_volume")
+
+
+@query(sql_trend_errors("f8hr_pedestrian_volume"))
+def forecast_pedestrians_trend_errors(t: Tables) -> DataFrame:
+    return _trend_errors(t, "f8hr_pedestrian_volume")
+
+
+@query()
+def forecast_search(t: Tables) -> DataFrame:
+    """Errors of each model, its parameters and the stack on each fold."""
+    return model_search.leaderboard(inputs.intersections(t), forecast.traffic_series("f8hr_vehicle_volume"))
+
+
+@query()
+def forecast_stacked(t: Tables) -> DataFrame:
+    """The forecast table by the leader of the search."""
+    series = forecast.traffic_series("f8hr_vehicle_volume")
+    return model_search.forecast_by_search(inputs.intersections(t), series, "predicted_traffic", AS_OF)
+
+
 # Run log.
 
 SQL_LOG = """SELECT 'production' AS phase, event_type || '.sql' AS step_name, value AS duration_seconds,
