@@ -27,7 +27,9 @@ TOP = 2_000
 #: Frequent words and frequent pairs that are sent to every task at most; beyond these the semi-join shuffles the occurrences.
 SENT_WORDS, SENT_PAIRS = 500_000, 2_000_000
 #: Different words, and pairs, that a task counts before it hands the counts on.
-HELD_WORDS, HELD_PAIRS = 400_000, 3_000_000
+HELD_WORDS, HELD_PAIRS = 250_000, 1_500_000
+#: Documents that a task works on at once.
+AT_ONCE = 500
 
 BREAK = b"."
 PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
@@ -44,6 +46,11 @@ def _rows(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), lang.alias("lang"), text.alias("text"))
 
 
+def _some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield from (b.iloc[first : first + AT_ONCE] for first in range(0, len(b), AT_ONCE))
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """(lang, word, n) of all words of ``rows`` (lang, text); a null word has the number of all words."""
 
@@ -58,7 +65,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
             held.clear()
             return pd.DataFrame(out, columns=["lang", "word", "n"])
 
-        for b in batches:
+        for b in _some(batches):
             for lang, text in zip(b["lang"], b["text"], strict=True):
                 held.setdefault(lang, Counter()).update(tokens(text))
             if sum(map(len, held.values())) > HELD_WORDS:
@@ -94,7 +101,7 @@ def word_occurrences(rows: DataFrame, words: DataFrame, most_sent: int = SENT_WO
     sent = rows.sparkSession.sparkContext.broadcast(ids)
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _some(batches):
             out = []
             for row, lang, text in zip(b["row"], b["lang"], b["text"], strict=True):
                 known = sent.value.get(lang)
@@ -109,6 +116,11 @@ def word_occurrences(rows: DataFrame, words: DataFrame, most_sent: int = SENT_WO
     return rows.mapInPandas(each, RELATION)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield from (b.slice(first, AT_ONCE) for first in range(0, b.num_rows, AT_ONCE))
+
+
 def _adjacent(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """(number of the document in the batch, pos, left, right) of each two phrases of a relation at places that follow each other."""
     sizes = batch.column("pos").value_lengths().to_numpy(zero_copy_only=False)
@@ -140,7 +152,7 @@ def pair_counts(relation: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for b in batches:
+        for b in _slices(batches):
             _, _, left, right = _adjacent(b)
             held.append((left, right))
             size += len(left)
@@ -159,7 +171,7 @@ def longer_occurrences(relation: DataFrame, pairs: DataFrame, most_sent: int = S
     if pairs.count() > most_sent:
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in _slices(batches):
                 doc, pos, left, right = _adjacent(b)
                 row = b.column("row").to_numpy(zero_copy_only=False)[doc]
                 yield pa.RecordBatch.from_arrays(
@@ -179,7 +191,7 @@ def longer_occurrences(relation: DataFrame, pairs: DataFrame, most_sent: int = S
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, codes, ids = sent.value
-        for b in batches:
+        for b in _slices(batches):
             doc, pos, left, right = _adjacent(b)
             if len(doc) and len(codes):
                 code = _coded(left, right, known)
