@@ -20,17 +20,49 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="shared-")
 
 
+def _write(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    alone = spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None)
+    path = shared_folder(spark, f"{label}-{uuid.uuid4().hex}", fallback=_own_folder() if alone else None)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again, which cuts its lineage.
 
-    The folder is the one that ``spark.checkpoint.dir`` names; a session without that setting (a test on one
-    machine) gets a folder of its own.
+    The folder is the one that ``spark.checkpoint.dir`` names. A cluster without that setting is refused, because a folder of
+    the driver's own would be out of reach for executors; a session on one machine gets one.
     """
-    spark = df.sparkSession
-    unset = not spark.conf.get("spark.checkpoint.dir", None)
-    path = shared_folder(spark, f"{label}-{uuid.uuid4().hex}", fallback=_own_folder() if unset else None)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _write(df, label)[0]
+
+
+class Scratch:
+    """Tables written to the shared folder that are removed once their last reader is written itself."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        found, path = _write(df, label)
+        self.paths.append(path)
+        return found
+
+    def clear(self) -> None:
+        """Remove the tables; nothing that was not written since may still read them, a lost executor's tasks included."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def ids_and_texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:

@@ -1,9 +1,9 @@
 """Near-duplicates by the Jaccard similarity of shingle sets: SimHash makes the first candidates, every link is verified.
 
-What the fingerprints miss is found by prefixes. In any one order of all shingles, two sets of a similarity of ``least``
-or more share one among the first n - ceil(least n) + 1 of each, and no earlier one of either; rare shingles come first, so
-few sets share any. Links are looked for between components only, at first with one member of each shared shingle, so a dense
-group gives fewer of its pairs; those of members that are still apart are all compared.
+Texts with equal sets are one class, and only classes are compared. What the fingerprints miss is found by prefixes: in any one order of
+all shingles, two sets of a similarity of ``least`` or more share one among the first n - ceil(least n) + 1 of each, and no earlier one
+of either; rare shingles come first, so few sets share any. Links are looked for between components only, at first with one class of
+each shared shingle, so a dense group gives fewer of its pairs; those of classes that are still apart are all compared.
 """
 
 from __future__ import annotations
@@ -14,19 +14,22 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geotally.llm import simhash
-from geotally.llm.common import written
+from geotally.llm.common import Scratch, unused
 from geotally.llm.components import components
 
 #: Documents from which the order of the shingles is estimated, and frequent shingles that it tells apart. Any order gives
 #: the same result; a good one gives few candidates.
 SAMPLE_DOCS, FREQUENT = 20_000, 200_000
-#: Rounds in which the members of a shared shingle are compared with one of them, the same one for many shingles; the last
+#: Rounds in which the classes of a shared shingle are compared with one of them, the same one for many shingles; the last
 #: comparison, of all that are still apart, makes the result whole.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+#: Documents that a task works on at once.
+AT_ONCE = 500
 #: Rounding of similarities.
 SLACK = 1e-9
 
@@ -36,116 +39,131 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(simhash.shingle_hashes(text, words)).view(np.int64)
 
 
-def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """(_row, shingles) of ``rows`` (_row, text)."""
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for first in range(0, len(b), 500):
-                part = b.iloc[first : first + 500]
-                yield pd.DataFrame({"_row": part["_row"], "shingles": [shingle_set(t, words) for t in part["text"]]})
-
-    return rows.select("_row", "text").mapInPandas(each, "_row long, shingles array<long>")
+def _some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield from (b.iloc[first : first + AT_ONCE] for first in range(0, len(b), AT_ONCE))
 
 
 def frequent(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several documents of a sample have, sorted, and their counts."""
+    """Shingles that several of a sample of ``rows`` (t1, text) have, sorted, and their counts."""
     share = min(1.0, SAMPLE_DOCS / max(1, rows.count()))
-    drawn = rows.where(F.pmod(F.xxhash64("_row"), F.lit(1_000_003)) < F.lit(int(share * 1_000_003) + 1))
-    counts = shingle_sets(drawn, words).select(F.explode("shingles").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    drawn = rows.where(F.pmod(F.col("t1"), F.lit(1_000_003)) < F.lit(int(share * 1_000_003) + 1)).select("text")
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _some(batches):
+            yield pd.DataFrame({"key": np.concatenate([shingle_set(t, words) for t in b["text"]])})
+
+    counts = drawn.mapInPandas(each, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     got = counts.where("n > 1").orderBy(F.desc("n"), "key").limit(FREQUENT).orderBy("key").toPandas()
     return got["key"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
 
-def prefixes(rows: DataFrame, words: int, least: float) -> DataFrame:
-    """(_row, n, key, pos): the first shingles of each set of n, and their places in it."""
+def signatures(rows: DataFrame, words: int, least: float) -> DataFrame:
+    """(t1, t2, c1, c2, fp, n, prefix) of ``rows`` (t1, t2, text): digest and size of the shingle set, fingerprint, first shingles."""
     sent = rows.sparkSession.sparkContext.broadcast(frequent(rows, words))
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, counts = sent.value
-        for b in batches:
-            for first in range(0, len(b), 500):
-                part, sets = b.iloc[first : first + 500], []
-                for t in part["text"]:
-                    x = shingle_set(t, words)
-                    if len(x) and len(keys):
-                        at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-                        x = x[np.lexsort((x, np.where(keys[at] == x, counts[at], 0)))]
-                    sets.append((len(x), x[: len(x) - ceil(least * len(x) - SLACK) + 1]))
-                sizes = [len(p) for _, p in sets]
-                yield pd.DataFrame(
-                    {
-                        "_row": np.repeat(part["_row"].to_numpy(np.int64), sizes),
-                        "n": np.repeat(np.array([n for n, _ in sets], np.int32), sizes),
-                        "key": np.concatenate([p for _, p in sets]),
-                        "pos": np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]),
-                    }
-                )
-
-    return rows.select("_row", "text").mapInPandas(each, "_row long, n int, key long, pos int")
+        for b in _some(batches):
+            out = []
+            for t in b["text"]:
+                hashes = simhash.shingle_hashes(t, words)
+                x = np.unique(hashes).view(np.int64)
+                digest = xxhash.xxh3_128_intdigest(x.tobytes())
+                if len(x) and len(keys):
+                    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+                    x = x[np.lexsort((x, np.where(keys[at] == x, counts[at], 0)))]
+                first = x[: len(x) - ceil(least * len(x) - SLACK) + 1]
+                halves = [int(h) - (1 << 63) for h in (digest >> 64, digest & (1 << 64) - 1)]
+                out.append((*halves, simhash.fingerprint_of(hashes), len(x), first))
+            yield pd.concat([b[["t1", "t2"]].reset_index(drop=True), pd.DataFrame(out, columns=["c1", "c2", "fp", "n", "prefix"])], axis=1)
+
+    return rows.mapInPandas(each, "t1 long, t2 long, c1 long, c2 long, fp long, n int, prefix array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets have a Jaccard similarity of ``least`` or more; two empty sets are equal."""
-    one = sets.select(F.col("_row").alias("a"), F.col("shingles").alias("s"))
-    two = sets.select(F.col("_row").alias("b"), F.col("shingles").alias("t"))
+    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("s"))
+    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("t"))
     both = F.size(F.array_intersect("s", "t"))
     alike = both >= least * (F.size("s") + F.size("t") - both) - SLACK
     return pairs.join(one, "a").join(two, "b").where(alike).select("a", "b")
 
 
 def _candidates(one: DataFrame, two: DataFrame, least: float) -> DataFrame:
-    """(a, b) of each two rows of different components that share a shingle so early that they can be alike."""
-    two = two.select("key", *(F.col(c).alias(f"{c}2") for c in ("_row", "n", "pos", "comp")))
+    """(a, b) of each two classes of different components that share a shingle so early that they can be alike."""
+    two = two.select("key", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "comp")))
     need = least / (1 + least) * (F.col("n") + F.col("n2")) - SLACK
     fits = (F.col("n") - F.col("pos") >= need) & (F.col("n2") - F.col("pos2") >= need)
     sizes = F.least("n", "n2") >= least * F.greatest("n", "n2") - SLACK
     found = one.join(two, "key").where((F.col("comp") != F.col("comp2")) & fits & sizes)
-    return found.select(F.least("_row", "_row2").alias("a"), F.greatest("_row", "_row2").alias("b")).distinct()
+    return found.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 
-def alike_components(rows: DataFrame, words: int, radius: int, least: float) -> DataFrame:
-    """(id, component_id) of each row of ``rows`` (_row, text) that is linked to another; both are values of _row.
+def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scratch: Scratch, words: int, radius: int, least: float) -> DataFrame:
+    """(id, component_id) of each class that is linked to another.
 
-    Two rows are linked if the Jaccard similarity of their shingle sets is ``least`` or more, and components are all that
+    ``classes`` (id, t1, t2, fp) name one text of each; ``marked`` (t1, t2, n, prefix) has the prefixes of texts, ``rows`` (t1, t2, text)
+    the texts. Two classes are linked if the Jaccard similarity of their sets is ``least`` or more, and components are all that
     links reach. ``radius`` decides only which links the fingerprints find.
     """
-    marked = written(simhash.fingerprints(rows, words, "_row", "text"), "fingerprints")
-    classes = simhash.fingerprint_components(marked, radius).withColumnRenamed("fp", "class_fp")
-    near = marked.join(classes, marked.fp == classes.class_fp).select(F.col("comp").alias("a"), F.col("id").alias("b"))
-    early = prefixes(rows, words, least)
-    often = early.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1")
-    shared = written(early.join(often, "key", "left_semi"), "shared")
-
-    tagged, links = shared.withColumn("comp", F.col("_row")), []
+    named = simhash.fingerprint_components(classes.select("id", "fp"), radius).withColumnRenamed("fp", "class_fp")
+    near = classes.join(named, classes.fp == named.class_fp).select(F.col("comp").alias("a"), F.col("id").alias("b")).where("a != b")
+    near = scratch.written(near, "near")
+    own = marked.join(classes.select("t1", "t2", "id"), ["t1", "t2"]).select("id", "n", F.posexplode("prefix").alias("pos", "key"))
+    often = scratch.written(own.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1").select("key"), "often")
+    shared = scratch.written(own.join(often, "key", "left_semi"), "shared")
+    # Only classes that share an early shingle or a fingerprint can be linked; their sets are made once.
+    needed = shared.select("id").union(near.select("a")).union(near.select("b")).distinct()
+    texts = rows.join(classes.join(needed, "id", "left_semi").select("t1", "t2", "id"), ["t1", "t2"]).select("id", "text")
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _some(batches):
+            yield pd.DataFrame({"id": b["id"], "shingles": [shingle_set(t, words) for t in b["text"]]})
+
+    sets = scratch.written(texts.mapInPandas(each, "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
+    tagged, links = shared.withColumn("comp", F.col("id")), []
     for k in range(LEADER_ROUNDS + 1):
         other = tagged
         if k < LEADER_ROUNDS:
-            leader = F.min_by(F.struct("_row", "n", "pos", "comp"), F.xxhash64("_row", F.lit(k)))
-            other = written(tagged.groupBy("key").agg(leader.alias("leader")).select("key", "leader.*"), "leaders")
+            leader = F.min_by(F.struct("id", "n", "pos", "comp"), F.xxhash64("id", F.lit(k)))
+            other = tagged.groupBy("key").agg(leader.alias("leader")).select("key", "leader.*")
         found = _candidates(tagged, other, least)
-        pairs = written(found if k else found.union(near.where("a != b")).distinct(), "candidates")
-        needed = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct()
-        sets = written(shingle_sets(rows.join(needed, "_row", "left_semi"), words), "shingles")
-        links.append(written(verified(pairs, sets, least), "verified"))
+        links.append(scratch.written(verified(found if k else found.union(near).distinct(), sets, least), "links"))
         comps = components(reduce(DataFrame.union, links))
         if k < LEADER_ROUNDS:
-            own = comps.withColumnRenamed("id", "_row")
-            moved = shared.join(own, "_row", "left").select("key", "_row", "n", "pos", F.coalesce("component_id", "_row").alias("comp"))
-            tagged = written(moved, "tagged")
+            moved = comps.withColumnRenamed("id", "_id")
+            joined = shared.join(moved, F.col("id") == F.col("_id"), "left")
+            tagged = scratch.written(joined.select("key", "id", "n", "pos", F.coalesce("component_id", "id").alias("comp")), "tagged")
     return comps
 
 
 def without_near_duplicates(docs: DataFrame, words: int, radius: int, least: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest id.
 
-    A null id comes last; of rows with one id one stays. Blank and null texts are alike, and like no other.
+    A null id comes last; of rows with one id and text one stays. Blank and null texts are alike, and like no other. All columns
+    are kept as they are, whatever their names; an empty table gives no rows.
     """
-    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    found = alike_components(keyed.select("_row", F.col(text_col).alias("text")), words, radius, least)
-    ids = keyed.select("_row", F.col(id_col).alias("id"))
-    members = ids.join(found.select(F.col("id").alias("_row"), "component_id"), "_row")
-    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "_row")).alias("first"))
-    stays = first.select("first._row")
-    dropped = found.select(F.col("id").alias("_row")).join(stays, "_row", "left_anti")
-    return keyed.join(dropped, "_row", "left_anti").select(docs.columns)
+    scratch = Scratch(docs.sparkSession)
+    t1, t2, comp, rank = (unused(docs, name) for name in ("t1", "t2", "comp", "rank"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumns({t1: F.xxhash64(text), t2: F.xxhash64(F.lit(1), text)})
+    rows = keyed.select(F.col(t1).alias("t1"), F.col(t2).alias("t2"), text.alias("text"))
+    marked = scratch.written(signatures(rows, words, least), "signatures")
+    one = F.min(F.struct("t1", "t2", "fp")).alias("one")
+    grouped = marked.groupBy("c1", "c2").agg(one, F.count(F.lit(1)).alias("n_rows"))
+    classes = scratch.written(grouped.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "n_rows", "one.*"), "classes")
+    # A text that several rows have is there several times in ``marked``; its prefix counts once.
+    comps = class_components(rows, classes, marked.select("t1", "t2", "n", "prefix").dropDuplicates(["t1", "t2"]), scratch, words, radius, least)
+    found = classes.join(comps.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
+    many = found.where("component_id IS NOT NULL OR n_rows > 1").select("c1", "c2", F.coalesce("component_id", "id").alias("comp"))
+    members = marked.select("t1", "t2", "c1", "c2").join(many, ["c1", "c2"]).select(
+        F.col("t1").alias(t1), F.col("t2").alias(t2), F.col("comp").alias(comp)
+    )
+    members = Scratch(docs.sparkSession).written(members.distinct(), "members")
+    scratch.clear()
+    tagged = keyed.join(members, [t1, t2], "left")
+    # The rank is cut to 1 before the exchange, so a component of any size gives one row of each task.
+    order = Window.partitionBy(comp).orderBy(F.col(id_col).isNull(), id_col, t1, t2)
+    first = tagged.where(F.col(comp).isNotNull()).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return tagged.where(F.col(comp).isNull()).select(docs.columns).union(first.select(docs.columns))

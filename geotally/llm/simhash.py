@@ -45,7 +45,10 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
 
 def fingerprint(text: str | None, words: int) -> int:
     """SimHash of the shingles of ``words`` words, repeats included; 0 for a text without words."""
-    hashes = shingle_hashes(text, words)
+    return fingerprint_of(shingle_hashes(text, words))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
     n = len(hashes)
     if not n:
         return 0

@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 from geotally.llm.common import table
@@ -72,6 +74,35 @@ def test_null_and_repeated_ids(spark):
     assert without_near_duplicates(docs(spark, []), 5, 3, 0.8).collect() == []
 
 
+def test_columns_of_any_name_stay_as_they_are(spark):
+    df = docs(spark, ["a b c d e f", "a b c d e f", "g h i j k l"]).withColumns(
+        {n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in ("_row", "t1", "T2", "comp", "comp_", "rank", "c1", "fp", "prefix", "_id")}
+    )
+    got = without_near_duplicates(df, 5, 3, 0.8)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id, r._row, r.t1, r.T2, r.comp, r.rank) for r in got.collect()) == [
+        (0, "_row0", "t10", "T20", "comp0", "rank0"), (2, "_row2", "t12", "T22", "comp2", "rank2")
+    ]
+
+
+def test_many_copies_of_one_set_and_of_one_row(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    texts = [text] * 300 + [text + f" end{k % 3}" for k in range(90)] + ["apart from all that", None, " "]
+    df = docs(spark, texts)
+    twice = df.union(df).repartition(4)
+    assert sorted(r.doc_id for r in without_near_duplicates(twice, 5, 3, 0.8).collect()) == sorted(brute(texts))
+
+
+def test_tables_on_the_way_are_removed(spark):
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    without_near_duplicates(docs(spark, sample()[:40]), 5, 3, 0.8).collect()
+    left = {p.name.rsplit("-", 1)[0] for p in folder.iterdir() if p.name not in before}
+    assert not left & {"signatures", "often", "shared", "sets", "near", "tagged"}
+
+
 def test_stage_of_the_pipeline_on_the_given_table(spark):
     documents = table(spark, str(DATA), "documents")
     rows = sorted((r.doc_id, r.text) for r in documents.collect())

@@ -6,8 +6,8 @@ from geotally.llm.common import table, written
 from tests.conftest import DATA
 from tests.llm.test_decontamination import brute as brute_hits
 from tests.llm.test_exact_dedup import brute as brute_copies
+from tests.llm.test_near_dedup import brute as brute_near
 from tests.llm.test_packing import check, ids_of
-from tests.llm.test_simhash import brute_components, brute_fingerprint
 
 
 def test_stages(spark):
@@ -29,8 +29,7 @@ def test_stages(spark):
             want = {i for i, _, _, stays, _ in brute_copies(before.items()) if stays}
         elif name == "near dedup":
             ids = sorted(before)
-            fps = [brute_fingerprint(before[i], corpus_pipeline.NEAR_WORDS) for i in ids]
-            want = {i for i, c in brute_components(ids, fps, corpus_pipeline.NEAR_BITS).items() if i == c}
+            want = {ids[k] for k in brute_near([before[i] for i in ids], corpus_pipeline.NEAR_SHARE)}
         else:
             items = [(r.item_id, r.text) for r in table(spark, folder, "benchmark").collect()]
             want = {i for i, t in before.items() if not brute_hits(t, items)[1]}
