@@ -17,7 +17,7 @@ from geotally.llm.queries import TOKENIZER
 #: Near-duplicates share this much of their five-word shingles (Jaccard) at least.
 NEAR_WORDS, NEAR_SHARE = 5, 0.8
 #: Fingerprints that differ in this many of 64 bits at most give the first candidates; the result does not depend on it.
-NEAR_BITS = 8
+NEAR_BITS = 3
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
