@@ -190,17 +190,17 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
 WITH d AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), s AS (
-  SELECT doc_id, unnest(range(0, len(h) // 2 - 199)) AS at, h FROM d WHERE len(h) >= 400
+  SELECT doc_id, unnest(range(0, len(h) // 2 - 199)) AS pos, h FROM d WHERE len(h) >= 400
 ), w AS (
-  SELECT doc_id, at, md5(substr(h, 2 * at + 1, 400)) AS m FROM s
+  SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, 400)) AS m FROM s
 ), r AS (
-  SELECT doc_id, at FROM w QUALIFY count(*) OVER (PARTITION BY m) > 1
+  SELECT doc_id, pos FROM w QUALIFY count(*) OVER (PARTITION BY m) > 1
 ), e AS (
-  SELECT doc_id, at, at - lag(at, 1, -1000) OVER (PARTITION BY doc_id ORDER BY at) > 200 AS fresh FROM r
+  SELECT doc_id, pos, pos - lag(pos, 1, -1000) OVER (PARTITION BY doc_id ORDER BY pos) > 200 AS fresh FROM r
 ), g AS (
-  SELECT doc_id, at, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY at) AS run FROM e
+  SELECT doc_id, pos, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM e
 ), x AS (
-  SELECT doc_id, run, min(at) AS a, max(at) + 200 AS z FROM g GROUP BY doc_id, run
+  SELECT doc_id, run, min(pos) AS a, max(pos) + 200 AS z FROM g GROUP BY doc_id, run
 ), k AS (
   SELECT d.doc_id, d.h, coalesce(a, 0) AS a, coalesce(z, 0) AS z, x.run, lag(z, 1, 0) OVER (PARTITION BY d.doc_id ORDER BY a) AS before
   FROM d LEFT JOIN x USING (doc_id)
