@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,9 @@ from geotally.functions import text
 from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, model_search, reshape, runlog
 from geotally.plans import inputs, warehouse
 from geotally.plans.inputs import AS_OF, Tables
-from geotally.sources import files, links, staging
+from geotally.session import scratch_path
+from geotally.sinks import tables as sink
+from geotally.sources import datasource, files, links, quarantine, staging
 from geotally.sources.tables import catalog_tables
 
 
@@ -587,12 +591,129 @@ def list_files(t: Tables) -> DataFrame:
 @query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}" for name in ("customer", "orders", "supplier")))
 def catalog_rows(t: Tables) -> DataFrame:
     """Rows of the tables that a filtered scan of the catalogue finds; the loop is over their names."""
-    t.spark.sql("CREATE DATABASE IF NOT EXISTS given")
-    for name in ("customer", "lineitem", "nation", "orders", "part", "region", "supplier"):
-        t.spark.sql(f"CREATE OR REPLACE VIEW given.{name} AS SELECT * FROM parquet.`{t.folder}/{name}.parquet`")
-    names = [r[0] for r in catalog_tables(t.spark, "given", ["%n%"], ["part"]).collect()]
-    counts = [t.spark.table(f"given.{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for n in names]
-    return clean.union_by_name(counts)
+    with _own_database(t.spark) as database:
+        for name in ("customer", "lineitem", "nation", "orders", "part", "region", "supplier"):
+            t.spark.sql(f"CREATE VIEW {database}.{name} AS SELECT * FROM parquet.`{t.folder}/{name}.parquet`")
+        names = [r[0] for r in catalog_tables(t.spark, database, ["%n%"], ["part"]).collect()]
+        counts = [t.spark.table(f"{database}.{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for n in names]
+        return clean.union_by_name(counts)
+
+
+@contextmanager
+def _own_database(spark: SparkSession) -> Iterator[str]:
+    """A database for the time of one query's making. Frames made of its tables know their files and outlive it."""
+    name = f"given_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def table_round_trip(t: Tables) -> DataFrame:
+    """Customers as a table that is replaced twice and read back."""
+    kept = t("customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    root = scratch_path(t.spark, "tables")
+    with _own_database(t.spark) as database:
+        sink.replace_table(kept.limit(0), f"{database}.customers", root)
+        sink.replace_table(kept.where("c_custkey % 2 = 0"), f"{database}.customers", root)
+        return sink.replace_table(kept, f"{database}.customers", root, ["c_mktsegment"]).select(kept.columns)
+
+
+CUSTOMERS = schemas.table(
+    ("c_custkey", schemas.WHOLE), ("c_name", schemas.TEXT), ("c_acctbal", schemas.NUMBER), ("note", schemas.TEXT)
+)
+SQL_CUSTOMERS = """SELECT c_custkey, c_name, c_acctbal, c_mktsegment || ', "x"' || chr(10) || 'y' AS note FROM customer"""
+
+
+def _noted_customers(t: Tables) -> DataFrame:
+    return t("customer").select("c_custkey", "c_name", "c_acctbal", F.concat("c_mktsegment", F.lit(', "x"\ny')).alias("note"))
+
+
+@query(SQL_CUSTOMERS)
+def csv_round_trip(t: Tables) -> DataFrame:
+    """Customers exported as text with headers and read back; a note has a line break."""
+    path = scratch_path(t.spark, "export")
+    sink.export_csv(_noted_customers(t), path)
+    return files.read_delimited(t.spark, path, CUSTOMERS, multiline=True).drop(files.FILE_NAME)
+
+
+@query(SQL_CUSTOMERS)
+def zipped_round_trip(t: Tables) -> DataFrame:
+    """Customers written as zip archives and read back by member."""
+    datasource.register(t.spark)
+    path = scratch_path(t.spark, "zipped")
+    _noted_customers(t).write.format("zipped_csv").mode("overwrite").save(path)
+    return t.spark.read.format("zipped_csv").schema(CUSTOMERS).load(path)
+
+
+ORDERS = schemas.table(
+    ("o_orderkey", schemas.WHOLE), ("o_custkey", schemas.WHOLE), ("o_totalprice", schemas.NUMBER), ("priority", schemas.TEXT)
+)
+
+
+def _scanned_orders(t: Tables) -> quarantine.Scanned:
+    path = scratch_path(t.spark, "landed")
+    inputs.write_lines(inputs.faulty_orders(t), path)
+    return quarantine.scan(t.spark, path, ORDERS, scratch_path(t.spark, "scanned"), quarantine.ErrorBudget(0.5), sep=";")
+
+
+def _file_number(column: str):
+    return F.regexp_extract(column, r"file=(\d+)", 1).cast("int").alias("file")
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, floor(o_totalprice) + 0.5::double AS o_totalprice, o_orderpriority || ', "x"' AS priority,
+    cast(o_orderkey % 5 AS int) AS file FROM orders WHERE o_orderkey % 5 <> 4 AND o_orderkey % 89 <> 0 AND o_orderkey % 97 <> 0"""
+)
+def scan_good_rows(t: Tables) -> DataFrame:
+    good = _scanned_orders(t).good
+    return good.select(*ORDERS.names, _file_number(files.FILE_NAME))
+
+
+@query(
+    """WITH lines AS (SELECT o_orderkey AS k, cast(o_orderkey % 5 AS int) AS file, o_orderkey || ';' ||
+        CASE WHEN o_orderkey % 89 = 0 THEN 'n/a' ELSE o_custkey::varchar END || ';' || floor(o_totalprice)::bigint || '.5' ||
+        CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE ';"' || o_orderpriority || ', ' || repeat(chr(34), 2) || 'x' || repeat(chr(34), 3) END AS line FROM orders)
+    SELECT file, CASE WHEN file = 4 THEN 'header' WHEN k % 97 = 0 THEN 'cells' ELSE 'type' END AS reason, line FROM lines
+    WHERE file = 4 OR k % 89 = 0 OR k % 97 = 0
+    UNION ALL SELECT DISTINCT file, 'header', 'o_orderkey;o_custkey;o_totalprice;urgency' FROM lines WHERE file = 4"""
+)
+def scan_bad_lines(t: Tables) -> DataFrame:
+    return _scanned_orders(t).bad.select(_file_number(files.FILE_NAME), "reason", "line")
+
+
+def sql_drifting() -> str:
+    """The highest value of each type by date and hour, but for the type that the day's file leaves out."""
+    kinds = ", ".join(
+        f"max(value) FILTER (WHERE event_type = '{k}' AND day(ts) % 6 % {len(inputs.EVENT_TYPES)} <> {i}) AS {k.upper()}"
+        for i, k in enumerate(inputs.EVENT_TYPES)
+    )
+    return f"""SELECT strftime(ts, '%Y-%m-%d') AS "Date", cast(hour(ts) AS bigint) AS "Hour (UTC)", {kinds},
+        cast(day(ts) % 6 AS int) AS file FROM events GROUP BY ALL"""
+
+
+def _drifting(t: Tables, kind: str) -> DataFrame:
+    datasource.register(t.spark)
+    path = scratch_path(t.spark, "landed")
+    inputs.write_lines(inputs.drifting_readings(t, list(inputs.EVENT_TYPES)), path)
+    return t.spark.read.format(kind).option("pattern", "*.txt").option("ids", "Date|Hour (UTC)").load(path)
+
+
+@query(sql_drifting())
+def drifting_round_trip(t: Tables) -> DataFrame:
+    """Files whose columns differ as one frame."""
+    read = _drifting(t, "drifting_csv").withColumn("Hour (UTC)", F.col("Hour (UTC)").cast("bigint"))
+    return read.withColumn("file", _file_number(files.FILE_NAME)).drop(files.FILE_NAME)
+
+
+@query(
+    f"""UNPIVOT (SELECT "Date", "Hour (UTC)"::varchar AS "Hour (UTC)", * EXCLUDE ("Date", "Hour (UTC)", file) FROM ({sql_drifting()}))
+    ON {', '.join(k.upper() for k in inputs.EVENT_TYPES)} INTO NAME station VALUE value"""
+)
+def drifting_long(t: Tables) -> DataFrame:
+    return _drifting(t, "drifting_csv_long").drop(files.FILE_NAME)
 
 
 @query(

@@ -125,3 +125,39 @@ def zipped_customers(t: Tables) -> DataFrame:
         "c_custkey", "c_name", "c_acctbal", F.concat("c_mktsegment", F.lit(', "x"\ny')).alias("note")
     )
     return rows.mapInPandas(pack, "path string, content binary")
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Text files of ``lines`` (file, header, order, line), one in each folder ``file=…``: the header, then the lines in order."""
+    heads = lines.groupBy("file").agg(F.min("header").alias("line")).select("file", F.lit(None).cast("bigint").alias("order"), "line")
+    rows = heads.union(lines.select("file", "order", "line")).repartition("file")
+    ordered = rows.sortWithinPartitions("file", F.col("order").asc_nulls_first())
+    ordered.select("file", F.col("line").alias("value")).write.partitionBy("file").text(path)
+
+
+def faulty_orders(t: Tables) -> DataFrame:
+    """Orders as lines of five files. Some lack a cell, some have a word for a number, and one file has another header."""
+    key = F.col("o_orderkey")
+    customer = F.when(key % 89 == 0, "n/a").otherwise(F.col("o_custkey").cast("string"))
+    price = F.concat(F.floor("o_totalprice").cast("string"), F.lit(".5"))
+    cells = [key.cast("string"), customer, price, F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""x"""'))]
+    line = F.when(key % 97 == 0, F.concat_ws(";", *cells[:3])).otherwise(F.concat_ws(";", *cells))
+    names = "o_orderkey;o_custkey;o_totalprice;priority"
+    header = F.when(key % 5 == 4, names.replace("priority", "urgency")).otherwise(names)
+    return t("orders").select((key % 5).alias("file"), header.alias("header"), key.alias("order"), line.alias("line"))
+
+
+def drifting_readings(t: Tables, kinds: list[str]) -> DataFrame:
+    """The highest event value by date, hour and type as lines of six files, by day of month, each of which leaves out one of the types."""
+    part = F.dayofmonth("ts") % 6
+    stations = [F.max(F.when(F.col("event_type") == kind, F.col("value"))).alias(kind) for kind in kinds]
+    wide = t("events").groupBy(part.alias("file"), F.to_date("ts").alias("day"), F.hour("ts").alias("hour")).agg(*stations)
+    left_out = [F.col("file") % len(kinds) == k for k in range(len(kinds))]
+    names = [F.when(~gone, kind.upper()) for gone, kind in zip(left_out, kinds, strict=True)]
+    cells = [F.when(~gone, F.coalesce(F.col(kind).cast("string"), F.lit(""))) for gone, kind in zip(left_out, kinds, strict=True)]
+    return wide.select(
+        "file",
+        F.concat_ws(",", F.lit("Date"), F.lit("Hour (UTC)"), *names).alias("header"),
+        (F.unix_date("day") * 24 + F.col("hour")).cast("bigint").alias("order"),
+        F.concat_ws(",", F.col("day").cast("string"), F.col("hour").cast("string"), *cells).alias("line"),
+    )

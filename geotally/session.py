@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Results depend on these, so they are always set.
@@ -50,3 +54,14 @@ def shared_folder(spark: SparkSession, *parts: str, fallback: str | None = None)
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return "/".join([root.rstrip("/"), *parts])
+
+
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="shared-")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared folder. A session on one machine without that setting gets a folder of its own; a cluster does not."""
+    alone = spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None)
+    return shared_folder(spark, f"{label}-{uuid.uuid4().hex}", fallback=_own_folder() if alone else None)

@@ -72,7 +72,7 @@ def _open(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _cells(line: Column, sep: str) -> Column:
+def cells_of(line: Column, sep: str) -> Column:
     """Cells of a line; separators inside quotes do not count, and quotes inside quotes are doubled."""
     plain = re.escape(sep)
     outside = plain + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -91,7 +91,7 @@ def _named_cells(spark: SparkSession, path: str, ids: StructType, sep: str, patt
     text = spark.read.option("pathGlobFilter", pattern).text(path)
     line = F.regexp_replace("value", "^\ufeff", "").alias("line")
     lines = text.select(F.col("_metadata.file_path").alias(FILE_NAME), line).where("line <> ''")
-    parted = lines.select(FILE_NAME, _cells(F.col("line"), sep).alias("cells"))
+    parted = lines.select(FILE_NAME, cells_of(F.col("line"), sep).alias("cells"))
     is_header = F.forall(F.array(*map(F.lit, ids.names)), lambda name: F.array_contains("cells", name))
     headers = parted.where(is_header).groupBy(F.col(FILE_NAME).alias("_file")).agg(F.min("cells").alias("names"))
     rows = parted.where(~is_header).join(headers, F.col(FILE_NAME) == F.col("_file"), "left").drop("_file")
@@ -179,13 +179,13 @@ def _member_batches(archive: str, stream, members: Sequence[str], header: str) -
 
 
 def _parse(records: DataFrame, schema: StructType, sep: str) -> DataFrame:
-    parsed = F.from_csv("record", _ddl(schema), text_options(sep))
+    parsed = F.from_csv("record", ddl(schema), text_options(sep))
     # One member is unpacked by one task; rebalancing hands its rows to all tasks before they are parsed.
     rows = records.hint("rebalance").select("archive", "member", parsed.alias("row"))
     return rows.select("row.*", F.concat_ws("!", "archive", "member").alias(FILE_NAME))
 
 
-def _ddl(schema: StructType) -> str:
+def ddl(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
