@@ -106,3 +106,52 @@ def grid_density(
     if value:
         measures.append(F.avg(value).alias("mean_value"))
     return df.groupBy(*keys, *cells).agg(*measures)
+
+
+#: Levels of map cells: at level 20 a cell is about 38 metres wide at the equator.
+FINEST_LEVEL = 20
+
+
+def map_cell(latitude: ColumnOrName = "latitude", longitude: ColumnOrName = "longitude", level: int = FINEST_LEVEL) -> tuple[Column, Column]:
+    """Column and row of a point's cell on the square web map, which has 2 ** level cells a side.
+
+    Latitudes beyond the map's edge (about 85 degrees) fall into its first or last row.
+    """
+    side = float(1 << level)
+    phi = F.radians(as_column(latitude).cast("double"))
+    across = (as_column(longitude).cast("double") + 180.0) / 360.0
+    down = (1.0 - F.log(F.tan(phi) + 1.0 / F.cos(phi)) / math.pi) / 2.0
+    return tuple(F.greatest(F.lit(0.0), F.least(F.lit(side - 1), F.floor(part * side).cast("double"))).cast("bigint") for part in (across, down))
+
+
+def _spread(value: Column) -> Column:
+    """The 32 lowest bits of a number, with a gap of one bit between each two."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return value
+
+
+def interleaved(x: Column, y: Column) -> Column:
+    """One number of the bits of two in turn, so that cells near each other have numbers near each other.
+
+    Two bits less are the number of the cell of the level above.
+    """
+    return _spread(x).bitwiseOR(F.shiftleft(_spread(y), 1))
+
+
+def write_points(df: DataFrame, path: str, latitude: str = "latitude", longitude: str = "longitude", row_group: int | None = None) -> None:
+    """Write rows with positions along the curve of their cells, so that each row group covers a small box.
+
+    Parquet keeps the bounds of both coordinates for each row group; a filter on a box reads only groups that meet it.
+    """
+    cell = interleaved(*map_cell(latitude, longitude))
+    ordered = df.repartitionByRange(cell, F.col(latitude), F.col(longitude)).sortWithinPartitions(cell, latitude, longitude)
+    writer = ordered.write.mode("overwrite")
+    (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
+
+
+def points_in_box(
+    df: DataFrame, south: float, west: float, north: float, east: float, latitude: str = "latitude", longitude: str = "longitude"
+) -> DataFrame:
+    """Rows inside a box, its edges included; both conditions reach the scan."""
+    return df.where(F.col(latitude).between(south, north) & F.col(longitude).between(west, east))

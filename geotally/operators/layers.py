@@ -11,6 +11,7 @@ from geotally.fixed_values import ABOVE_MEAN, AT_MEAN, BELOW_MEAN, WEEKDAYS
 from geotally.functions import text
 from geotally.functions.calendar import ColumnOrName, as_column
 from geotally.functions.numbers import rounded, settled_mean, truncated
+from geotally.operators import geo
 from geotally.operators.clean import drop_any_null
 
 
@@ -121,3 +122,49 @@ def geojson_features(
         F.struct(*properties).alias("properties"),
     )
     return df.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("feature"))
+
+
+def marker_clusters(
+    df: DataFrame, levels: Sequence[int], weight: str, latitude: str = "latitude", longitude: str = "longitude"
+) -> DataFrame:
+    """Clusters for each zoom level: (level, cell, n_points, total, latitude, longitude), the position being the mean of the points.
+
+    A row's cell is found once, at the finest level; cells of other levels are its number without the last bits. All levels are
+    counted in one grouping, which each task reduces to its cells before the only exchange.
+    """
+    finest = max(levels)
+    cell = geo.interleaved(*geo.map_cell(latitude, longitude, finest))
+    kept = [F.col(latitude).cast("double").alias("_lat"), F.col(longitude).cast("double").alias("_lon")]
+    points = df.select(cell.alias("_finest"), *kept, F.col(weight).cast("double").alias("_weight")).where("_lat IS NOT NULL AND _lon IS NOT NULL")
+    of_level = [F.struct(F.lit(z).alias("level"), F.shiftright("_finest", 2 * (finest - z)).alias("cell")) for z in sorted(set(levels))]
+    rolled = points.withColumn("_at", F.explode(F.array(*of_level)))
+    grouped = rolled.groupBy("_at.level", "_at.cell").agg(
+        F.count(F.lit(1)).alias("n_points"), F.sum("_weight").alias("total"), F.avg("_lat").alias("latitude"), F.avg("_lon").alias("longitude")
+    )
+    return grouped
+
+
+def kernel_weights(reach: int) -> list[tuple[int, int, float]]:
+    """(rows, columns, share) of a cell's neighbours up to ``reach`` cells away: 1 - (distance / (reach + 1))², scaled to add up to 1."""
+    found = {
+        (a, b): 1 - (a * a + b * b) / (reach + 1) ** 2 for a in range(-reach, reach + 1) for b in range(-reach, reach + 1)
+    }
+    inside = {k: v for k, v in found.items() if v > 0}
+    whole = sum(inside.values())
+    return [(a, b, v / whole) for (a, b), v in sorted(inside.items())]
+
+
+def density_layer(
+    df: DataFrame, cell: float, reach: int, weight: str, latitude: str = "latitude", longitude: str = "longitude", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Smoothed weight of each square cell of ``cell`` degrees: (keys, lat_cell, lon_cell, density).
+
+    Points are added up by cell first, then each cell hands a share of its weight to each neighbour; shares add up to one, so
+    the total weight is kept. The neighbours come from an explode within the row, not from a join.
+    """
+    at = [F.floor(F.col(c) / F.lit(cell)).alias(name) for c, name in ((latitude, "_lat"), (longitude, "_lon"))]
+    cells = df.groupBy(*keys, *at).agg(F.sum(F.col(weight).cast("double")).alias("_weight")).where("_weight IS NOT NULL AND _lat IS NOT NULL AND _lon IS NOT NULL")
+    shares = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(w).alias("w")) for a, b, w in kernel_weights(reach)])
+    spread = cells.withColumn("_to", F.explode(shares))
+    to = [(F.col("_lat") + F.col("_to.a")).alias("lat_cell"), (F.col("_lon") + F.col("_to.b")).alias("lon_cell")]
+    return spread.groupBy(*keys, *to).agg(F.sum(F.col("_weight") * F.col("_to.w")).alias("density"))

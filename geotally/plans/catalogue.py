@@ -14,11 +14,26 @@ from geotally import fixed_values as fixed
 from geotally import schemas
 from geotally.functions import calendar as cal
 from geotally.functions import text
-from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, model_search, reshape, runlog
+from geotally.operators import (
+    aggregate,
+    clean,
+    dedupe,
+    enrich,
+    forecast,
+    geo,
+    kept_means,
+    layers,
+    measures,
+    model_search,
+    reshape,
+    runlog,
+)
 from geotally.plans import inputs, warehouse
 from geotally.plans.inputs import AS_OF, Tables
 from geotally.session import scratch_path
 from geotally.sinks import tables as sink
+from geotally.sinks.bucketed import join_bucketed, write_bucketed
+from geotally.sinks.keyed import KeyedTable, newest, refresh_parts
 from geotally.sources import datasource, files, links, quarantine, staging
 from geotally.sources.tables import catalog_tables
 
@@ -1291,3 +1306,148 @@ def run_log_latest(t: Tables) -> DataFrame:
         F.lit(1.0).alias("files_processed"),
     )
     return runlog.latest_steps(clean.union_by_name([_steps(t), runlog.placeholder_steps(t.spark), searched]))
+
+
+@query(
+    f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY step_name ORDER BY start_time DESC,
+    end_time DESC, duration_seconds DESC, files_processed DESC, phase DESC) AS rn FROM ({SQL_LOG})) WHERE rn = 1"""
+)
+def merged_log(t: Tables) -> DataFrame:
+    """The log as a keyed table, into which the steps of each phase are merged in turn."""
+    steps = _steps(t)
+    table = KeyedTable(t.spark, scratch_path(t.spark, "log"), ["step_name"], 8)
+    for phase in ("stage", "production"):
+        table.merge(steps.where(F.col("phase") == phase), runlog.latest_steps)
+    return table.read()
+
+
+# Tables kept up to date.
+
+
+def _kept_means(t: Tables, buckets: dict) -> DataFrame:
+    """Means of three loads, each folded into the sums and counts of those before."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "means"), [*KEPT_KEYS, kept_means.BUCKET], 8)
+    positioned = inputs.positioned_readings(t)
+    for load in range(3):
+        part = positioned.where(F.pmod(F.xxhash64("ts", "event_type"), F.lit(3)) == load)
+        state = kept_means.mean_state(part, KEPT_KEYS, "air_quality_value", buckets)
+        table.merge(state, lambda states: kept_means.folded(states, KEPT_KEYS))
+    return kept_means.means_of(table.read(), KEPT_KEYS, list(buckets))
+
+
+KEPT_KEYS = ["cgndb_id", "latitude", "longitude"]
+
+
+@query(sql_wide(STATION, "air_quality_value", SQL_PHASE_BUCKETS, SQL_POSITIONED))
+def kept_phase_means(t: Tables) -> DataFrame:
+    return _kept_means(t, kept_means.phases("hours_utc"))
+
+
+@query(SQL_WEEKDAYS_WIDE)
+def kept_weekday_means(t: Tables) -> DataFrame:
+    return _kept_means(t, kept_means.weekdays("the_date"))
+
+
+def _refreshed(t: Tables, whole) -> DataFrame:
+    """Readings loaded in two halves by their files; months that a half does not touch are not written."""
+    path = scratch_path(t.spark, "months")
+    rule = newest(dedupe.READING_KEYS, ["last_updated"], ["src_filename", "air_quality_value"])
+    first = F.col("src_filename").isin("view.csv", "click.csv")
+    for half in (first, ~first):
+        table = refresh_parts(whole(half), path, ["year", "month"], rule)
+    return table
+
+
+@query(sql_combined(SQL_READINGS, "the_date, hours_utc, cgndb_id"))
+def refreshed_readings(t: Tables) -> DataFrame:
+    places = staging.conform_geo_names(inputs.raw_gazetteer(t), AS_OF, "http://places")
+    return _refreshed(t, lambda half: enrich.combined_readings(inputs.readings(t).where(half), places, AS_OF))
+
+
+def sql_measures(columns: tuple[str, ...]) -> str:
+    rows = (
+        f"""SELECT 'readings' AS step_name, count(*) AS n_rows, count(DISTINCT src_filename) AS n_files,
+        '{c}' AS column_name, count(*) - count({c}) AS n_nulls FROM readings"""
+        for c in columns
+    )
+    return f"WITH readings AS (SELECT * REPLACE (nullif(floor(air_quality_value) % 7, 0) AS air_quality_value) FROM ({SQL_READINGS})) " + " UNION ALL ".join(rows)
+
+
+MEASURED = ("the_date", "cgndb_id", "air_quality_value", "src_filename")
+
+
+@query(sql_measures(MEASURED))
+def step_measures(t: Tables) -> DataFrame:
+    """Rows, files and nulls of a step, counted by the job that writes it."""
+    some = F.nullif(F.floor("air_quality_value") % 7, F.lit(0))
+    rows = inputs.readings(t).withColumn("air_quality_value", some).select(*MEASURED)
+    path = scratch_path(t.spark, "measured")
+    return measures.write_observed(rows, "readings", lambda df: df.write.parquet(path), "src_filename")
+
+
+@query(
+    f"""SELECT f.cgndb_id, the_date, hours_utc, air_quality_value, geographical_name FROM ({SQL_READINGS}) f
+    JOIN ({SQL_NEWEST_PLACES}) d ON upper(f.cgndb_id) = upper(d.cgndb_id)"""
+)
+def bucketed_join(t: Tables) -> DataFrame:
+    """Readings with their place, both in buckets by the upper-case station id."""
+    places = enrich.newest_places(staging.conform_geo_names(inputs.raw_gazetteer(t), AS_OF, "http://places"), AS_OF)
+    with _own_database(t.spark) as database:
+        fact, dimension = (
+            write_bucketed(df, f"{database}.{name}", scratch_path(t.spark, name), "cgndb_id", 8)
+            for name, df in (("fact", inputs.readings(t)), ("dimension", places.select("cgndb_id", "geographical_name")))
+        )
+        joined = join_bucketed(fact, dimension.drop("cgndb_id"))
+        return joined.select("cgndb_id", "the_date", "hours_utc", "air_quality_value", "geographical_name")
+
+
+# Map layers at every zoom.
+
+LEVELS = (0, 4, 8, 11, 14)
+
+
+def sql_bits(x: str, y: str, bits: int) -> str:
+    """Bits of two numbers in turn."""
+    return " + ".join(f"((({x} >> {i}) & 1) << {2 * i}) + ((({y} >> {i}) & 1) << {2 * i + 1})" for i in range(bits))
+
+
+SQL_MAP_CELLS = f"""SELECT latitude, longitude, f8hr_vehicle_volume AS weight,
+    floor((longitude + 180) / 360 * 16384)::bigint AS x,
+    floor((1 - ln(tan(radians(latitude)) + 1 / cos(radians(latitude))) / pi()) / 2 * 16384)::bigint AS y FROM ({SQL_COUNTS})"""
+
+
+@query(
+    f"""WITH cells AS ({SQL_MAP_CELLS}), levels(level) AS (VALUES {', '.join(f'({z}::int)' for z in LEVELS)})
+    SELECT level, {sql_bits('(x >> (14 - level))', '(y >> (14 - level))', 14)} AS cell, count(*) AS n_points,
+    printf('%.9e', sum(weight)) AS total, printf('%.9e', avg(latitude)) AS latitude, printf('%.9e', avg(longitude)) AS longitude
+    FROM cells, levels GROUP BY 1, 2"""
+)
+def marker_clusters(t: Tables) -> DataFrame:
+    found = layers.marker_clusters(inputs.intersections(t), LEVELS, "f8hr_vehicle_volume")
+    return found.select("level", "cell", "n_points", *(F.format_string("%.9e", F.col(c)).alias(c) for c in ("total", "latitude", "longitude")))
+
+
+def sql_density(cell: float, reach: int, weight: str) -> str:
+    reached = f"generate_series(-{reach}, {reach})"
+    return f"""WITH cells AS (SELECT floor(latitude / {cell})::bigint AS a, floor(longitude / {cell})::bigint AS b, sum({weight}) AS w
+        FROM ({SQL_COUNTS}) GROUP BY 1, 2),
+    kernel AS (SELECT i, j, 1 - (i * i + j * j) / {(reach + 1) ** 2}.0::double AS v FROM {reached} r(i), {reached} s(j)),
+    shares AS (SELECT i, j, v / (SELECT sum(v) FROM kernel WHERE v > 0) AS share FROM kernel WHERE v > 0)
+    SELECT a + i AS lat_cell, b + j AS lon_cell, printf('%.8e', sum(w * share)) AS density FROM cells, shares GROUP BY 1, 2"""
+
+
+@query(sql_density(0.05, 2, "f8hr_vehicle_volume"))
+def density_layer(t: Tables) -> DataFrame:
+    found = layers.density_layer(inputs.intersections(t), 0.05, 2, "f8hr_vehicle_volume")
+    return found.withColumn("density", F.format_string("%.8e", F.col("density")))
+
+
+@query(
+    f"""SELECT objectid, latitude, longitude, count_date FROM ({SQL_COUNTS})
+    WHERE latitude BETWEEN 43.2 AND 43.4 AND longitude BETWEEN -79.5 AND -79.3"""
+)
+def points_in_box(t: Tables) -> DataFrame:
+    """Intersections written along the curve of their cells, and read back by a box."""
+    path = scratch_path(t.spark, "points")
+    geo.write_points(inputs.intersections(t).select("objectid", "latitude", "longitude", "count_date"), path)
+    return geo.points_in_box(t.spark.read.parquet(path), 43.2, -79.5, 43.4, -79.3)

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from geotally import fixed_values as fixed
 from geotally.functions.calendar import any_date, weekday_name
-from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, reshape, runlog
+from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, measures, reshape, runlog
 from geotally.plans.settings import JobSettings
 from geotally.sinks import tables as sink
+from geotally.sinks.keyed import KeyedTable
 from geotally.sources import staging
 from geotally.sources.files import list_files
 from geotally.sources.tables import catalog_tables
@@ -48,6 +49,7 @@ class Warehouse:
         self.spark = spark
         self.settings = settings
         self.log = runlog.StepLog()
+        self.measured: list[DataFrame] = []
 
     def stage(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.settings.stage_schema}.{name}")
@@ -56,8 +58,13 @@ class Warehouse:
         return self.spark.table(f"{self.settings.public_schema}.{name}")
 
     def _refresh(self, phase: str, schema: str, name: str, df: DataFrame, partition_by=(), files: int = 1) -> DataFrame:
+        whole, root = f"{schema}.{name}", self.settings.table_root
+        files_of = "src_filename" if phase == "stage" and "src_filename" in df.columns else None
         with self.log.step(phase, name, files):
-            return sink.replace_table(df, f"{schema}.{name}", self.settings.table_root, partition_by)
+            self.measured.append(
+                measures.write_observed(df, name, lambda d: sink.replace_table(d, whole, root, partition_by), files_of)
+            )
+            return self.spark.table(whole)
 
     def _produce(self, name: str, df: DataFrame, partition_by=(), stamped: bool = True) -> DataFrame:
         df = clean.insertion_stamp(df, self.settings.as_of) if stamped else df
@@ -187,13 +194,15 @@ class Warehouse:
                 self._refresh("layers", self.settings.public_schema, name, df)
 
     def write_log(self) -> DataFrame:
-        """Append this run's steps to the log table's folder and return the newest entry of each step."""
-        path = f"{self.settings.table_root.rstrip('/')}/run_log"
+        """Put this run's steps into the log, which keeps the newest entry of each step, and the measures beside it."""
+        s = self.settings
         steps = clean.union_by_name([runlog.placeholder_steps(self.spark), self.log.frame(self.spark)])
-        sink.append_rows(steps, path)
-        name = f"{self.settings.public_schema}.data_model_performance_tbl"
-        latest = runlog.latest_steps(self.spark.read.parquet(path))
-        return sink.replace_table(latest, name, self.settings.table_root)
+        log = KeyedTable(self.spark, f"{s.table_root.rstrip('/')}/run_log", ["step_name"], buckets=4)
+        log.merge(steps, runlog.latest_steps)
+        log.forget()
+        if self.measured:
+            sink.replace_table(clean.union_by_name(self.measured), f"{s.stage_schema}.step_measures", s.table_root)
+        return sink.replace_table(log.read(), f"{s.public_schema}.data_model_performance_tbl", s.table_root)
 
     def export(self) -> None:
         """Text copies of all public tables, and of the marker layers as GeoJSON.
