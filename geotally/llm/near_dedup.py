@@ -3,7 +3,8 @@
 Texts with equal sets are one class, and only classes are compared. What the fingerprints miss is found by prefixes: in any one order of
 all shingles, two sets of a similarity of ``least`` or more share one among the first n - ceil(least n) + 1 of each, and no earlier one
 of either; rare shingles come first, so few sets share any. Links are looked for between components only, at first with one class of
-each shared shingle, so a dense group gives fewer of its pairs; those of classes that are still apart are all compared.
+each shared shingle, so a dense group gives fewer of its pairs; those of classes that are still apart are all compared. Counts of
+shingles by hash bound what two sets can share, so that whole sets are made and compared only where that is enough.
 """
 
 from __future__ import annotations
@@ -28,10 +29,14 @@ SAMPLE_DOCS, FREQUENT = 20_000, 200_000
 #: Rounds in which the classes of a shared shingle are compared with one of them, the same one for many shingles; the last
 #: comparison, of all that are still apart, makes the result whole.
 LEADER_ROUNDS = 2
+#: Parts of a set, by hash, whose sizes are kept.
+PARTS_LOG = 7
 #: Documents that a task works on at once.
 AT_ONCE = 500
 #: Rounding of similarities.
 SLACK = 1e-9
+#: Keys of a row: two hashes of its text and one of its id. Rows that repeat both give their links twice, which changes nothing.
+KEYS = ["t1", "t2", "t3"]
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -59,7 +64,10 @@ def frequent(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(rows: DataFrame, words: int, least: float) -> DataFrame:
-    """(t1, t2, c1, c2, fp, n, prefix) of ``rows`` (t1, t2, text): digest and size of the shingle set, fingerprint, first shingles."""
+    """(t1, t2, t3, c1, c2, fp, n, sizes, prefix) of ``rows`` (t1, t2, t3, text).
+
+    These are digest and size of the shingle set, fingerprint, sizes of the set's parts by hash, and its first shingles.
+    """
     sent = rows.sparkSession.sparkContext.broadcast(frequent(rows, words))
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,24 +78,40 @@ def signatures(rows: DataFrame, words: int, least: float) -> DataFrame:
                 hashes = simhash.shingle_hashes(t, words)
                 x = np.unique(hashes).view(np.int64)
                 digest = xxhash.xxh3_128_intdigest(x.tobytes())
+                sizes = np.bincount((x.view(np.uint64) >> np.uint64(64 - PARTS_LOG)).astype(np.int64), minlength=1 << PARTS_LOG)
                 if len(x) and len(keys):
                     at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
                     x = x[np.lexsort((x, np.where(keys[at] == x, counts[at], 0)))]
                 first = x[: len(x) - ceil(least * len(x) - SLACK) + 1]
                 halves = [int(h) - (1 << 63) for h in (digest >> 64, digest & (1 << 64) - 1)]
-                out.append((*halves, simhash.fingerprint_of(hashes), len(x), first))
-            yield pd.concat([b[["t1", "t2"]].reset_index(drop=True), pd.DataFrame(out, columns=["c1", "c2", "fp", "n", "prefix"])], axis=1)
+                out.append((*halves, simhash.fingerprint_of(hashes), len(x), sizes.astype(np.int32), first))
+            found = pd.DataFrame(out, columns=["c1", "c2", "fp", "n", "sizes", "prefix"])
+            yield pd.concat([b[["t1", "t2", "t3"]].reset_index(drop=True), found], axis=1)
+
+    return rows.mapInPandas(each, "t1 long, t2 long, t3 long, c1 long, c2 long, fp long, n int, sizes array<int>, prefix array<long>")
+
+
+def _both(pairs: DataFrame, of_class: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with the ``column`` of each class as ``s`` and ``t``."""
+    one, two = (of_class.select(F.col("id").alias(end), F.col(column).alias(name)) for end, name in (("a", "s"), ("b", "t")))
+    return pairs.join(one, "a").join(two, "b")
+
+
+def _alike(shared, n, m, least: float):
+    return shared >= least * (n + m - shared) - SLACK
+
 
-    return rows.mapInPandas(each, "t1 long, t2 long, c1 long, c2 long, fp long, n int, prefix array<long>")
+def possible(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets could have the similarity, by the sizes of their parts: no part shares more than the smaller."""
+    total = lambda sizes: F.aggregate(sizes, F.lit(0), lambda x, y: x + y)
+    most = total(F.zip_with("s", "t", lambda x, y: F.least(x, y)))
+    return _both(pairs, classes, "sizes").where(_alike(most, total(F.col("s")), total(F.col("t")), least)).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets have a Jaccard similarity of ``least`` or more; two empty sets are equal."""
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("s"))
-    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("t"))
-    both = F.size(F.array_intersect("s", "t"))
-    alike = both >= least * (F.size("s") + F.size("t") - both) - SLACK
-    return pairs.join(one, "a").join(two, "b").where(alike).select("a", "b")
+    shared = F.size(F.array_intersect("s", "t"))
+    return _both(pairs, sets, "shingles").where(_alike(shared, F.size("s"), F.size("t"), least)).select("a", "b")
 
 
 def _candidates(one: DataFrame, two: DataFrame, least: float) -> DataFrame:
@@ -103,25 +127,22 @@ def _candidates(one: DataFrame, two: DataFrame, least: float) -> DataFrame:
 def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scratch: Scratch, words: int, radius: int, least: float) -> DataFrame:
     """(id, component_id) of each class that is linked to another.
 
-    ``classes`` (id, t1, t2, fp) name one text of each; ``marked`` (t1, t2, n, prefix) has the prefixes of texts, ``rows`` (t1, t2, text)
-    the texts. Two classes are linked if the Jaccard similarity of their sets is ``least`` or more, and components are all that
-    links reach. ``radius`` decides only which links the fingerprints find.
+    ``classes`` (id, t1, t2, t3, fp) name one text of each; ``marked`` (t1, t2, t3, n, sizes, prefix) has the signatures of texts, ``rows``
+    (t1, t2, t3, text) the texts. Two classes are linked if the Jaccard similarity of their sets is ``least`` or more, and
+    components are all that links reach. ``radius`` decides only which links the fingerprints find.
     """
     named = simhash.fingerprint_components(classes.select("id", "fp"), radius).withColumnRenamed("fp", "class_fp")
     near = classes.join(named, classes.fp == named.class_fp).select(F.col("comp").alias("a"), F.col("id").alias("b")).where("a != b")
-    near = scratch.written(near, "near")
-    own = marked.join(classes.select("t1", "t2", "id"), ["t1", "t2"]).select("id", "n", F.posexplode("prefix").alias("pos", "key"))
-    often = scratch.written(own.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1").select("key"), "often")
-    shared = scratch.written(own.join(often, "key", "left_semi"), "shared")
-    # Only classes that share an early shingle or a fingerprint can be linked; their sets are made once.
-    needed = shared.select("id").union(near.select("a")).union(near.select("b")).distinct()
-    texts = rows.join(classes.join(needed, "id", "left_semi").select("t1", "t2", "id"), ["t1", "t2"]).select("id", "text")
+    own = classes.select("id", *KEYS).join(marked, KEYS)
+    sizes = scratch.written(own.select("id", "sizes"), "sizes")
+    early = own.select("id", "n", F.posexplode("prefix").alias("pos", "key"))
+    often = scratch.written(early.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1").select("key"), "often")
+    shared = scratch.written(early.join(often, "key", "left_semi"), "shared")
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in _some(batches):
             yield pd.DataFrame({"id": b["id"], "shingles": [shingle_set(t, words) for t in b["text"]]})
 
-    sets = scratch.written(texts.mapInPandas(each, "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
     tagged, links = shared.withColumn("comp", F.col("id")), []
     for k in range(LEADER_ROUNDS + 1):
         other = tagged
@@ -129,7 +150,11 @@ def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scr
             leader = F.min_by(F.struct("id", "n", "pos", "comp"), F.xxhash64("id", F.lit(k)))
             other = tagged.groupBy("key").agg(leader.alias("leader")).select("key", "leader.*")
         found = _candidates(tagged, other, least)
-        links.append(scratch.written(verified(found if k else found.union(near).distinct(), sets, least), "links"))
+        pairs = scratch.written(possible(found if k else found.union(near).distinct(), sizes, least), "pairs")
+        needed = classes.join(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "id", "left_semi")
+        texts = rows.join(needed.select("id", *KEYS), KEYS).select("id", "text")
+        sets = scratch.written(texts.mapInPandas(each, "id long, shingles array<long>"), "sets")
+        links.append(scratch.written(verified(pairs, sets, least), "links"))
         comps = components(reduce(DataFrame.union, links))
         if k < LEADER_ROUNDS:
             moved = comps.withColumnRenamed("id", "_id")
@@ -148,13 +173,13 @@ def without_near_duplicates(docs: DataFrame, words: int, radius: int, least: flo
     t1, t2, comp, rank = (unused(docs, name) for name in ("t1", "t2", "comp", "rank"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.withColumns({t1: F.xxhash64(text), t2: F.xxhash64(F.lit(1), text)})
-    rows = keyed.select(F.col(t1).alias("t1"), F.col(t2).alias("t2"), text.alias("text"))
+    # The third key tells rows of one text apart by id, so that one of many copies stands for them.
+    rows = keyed.select(F.col(t1).alias("t1"), F.col(t2).alias("t2"), F.xxhash64(id_col).alias("t3"), text.alias("text"))
     marked = scratch.written(signatures(rows, words, least), "signatures")
-    one = F.min(F.struct("t1", "t2", "fp")).alias("one")
+    one = F.min(F.struct(*KEYS, "fp")).alias("one")
     grouped = marked.groupBy("c1", "c2").agg(one, F.count(F.lit(1)).alias("n_rows"))
     classes = scratch.written(grouped.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "n_rows", "one.*"), "classes")
-    # A text that several rows have is there several times in ``marked``; its prefix counts once.
-    comps = class_components(rows, classes, marked.select("t1", "t2", "n", "prefix").dropDuplicates(["t1", "t2"]), scratch, words, radius, least)
+    comps = class_components(rows, classes, marked.select(*KEYS, "n", "sizes", "prefix"), scratch, words, radius, least)
     found = classes.join(comps.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
     many = found.where("component_id IS NOT NULL OR n_rows > 1").select("c1", "c2", F.coalesce("component_id", "id").alias("comp"))
     members = marked.select("t1", "t2", "c1", "c2").join(many, ["c1", "c2"]).select(
