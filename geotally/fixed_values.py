@@ -63,7 +63,5 @@ TOTAL_STEP = "create_production_tables"
 MAP_KINDS = (("FOLIUM", "folium"), ("TURF", "turf"), ("MAPBOX", "mapbox"))
 UNKNOWN_MAP_KIND = "unknown"
 
-# Catalogue names never exported, and those never loaded as frames.
+# Catalogue names never exported.
 EXPORT_SKIPS = ("spatial_ref_sys", "geography_columns", "geometry_columns")
-FRAME_SKIPS = EXPORT_SKIPS + ("data_model_performance_tbl",)
-FRAME_SKIP_PATTERNS = ("%h2o%", "%forecast%")

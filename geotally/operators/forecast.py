@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -242,8 +241,8 @@ def with_split(rows: DataFrame, series: Series, newest_share: float = 0.2) -> Da
 
 def compare_models(
     rows: DataFrame, cells: DataFrame, series: Series, settings: ForecastSettings
-) -> list[tuple[str, float, float]]:
-    """(model, held-out RMSE, seconds), best first. ``rows`` are split; the newest dates are held out."""
+) -> list[tuple[str, float]]:
+    """(model, held-out RMSE), best first. ``rows`` are split; the newest dates are held out."""
     means = category_means(cells.where("_older"), series)
     older, newest = rows.where("_older"), rows.where("NOT _older").drop("_fold")
     train, test = (_vectors(part, means, series).persist(KEPT) for part in (older, newest))
@@ -251,9 +250,7 @@ def compare_models(
     results = []
     try:
         for name, estimator in candidates(series.label, settings).items():
-            clock = time.monotonic()
-            rmse = evaluator.evaluate(estimator.fit(train).transform(test))
-            results.append((name, rmse, time.monotonic() - clock))
+            results.append((name, evaluator.evaluate(estimator.fit(train).transform(test))))
     finally:
         train.unpersist()
         test.unpersist()
@@ -298,8 +295,8 @@ def forecast_leaderboard(df: DataFrame, series: Series, settings: ForecastSettin
     """All models by held-out error."""
     with _prepared(_training_rows(df, series), series) as (rows, cells):
         results = compare_models(rows, cells, series, settings or ForecastSettings())
-    ranked = [(rank, name, rmse, seconds) for rank, (name, rmse, seconds) in enumerate(results, 1)]
-    return df.sparkSession.createDataFrame(ranked, "rank int, model string, rmse double, seconds double")
+    ranked = [(rank, name, rmse) for rank, (name, rmse) in enumerate(results, 1)]
+    return df.sparkSession.createDataFrame(ranked, "rank int, model string, rmse double")
 
 
 def fit_leader(rows: DataFrame, series: Series, settings: ForecastSettings) -> Model:

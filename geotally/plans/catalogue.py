@@ -591,16 +591,20 @@ def rows_per_file(t: Tables) -> DataFrame:
     return clean.union_by_name([files.rows_per_file(t("lineitem")), files.rows_per_file(t("orders"))])
 
 
-GIVEN = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-).split()
-
-
-@query(" UNION ALL ".join(f"SELECT '{name}.parquet' AS file_name" for name in GIVEN))
+@query(
+    """WITH lines AS (SELECT cast(o_orderkey % 5 AS int) AS file, o_orderkey || ';' ||
+        CASE WHEN o_orderkey % 89 = 0 THEN 'n/a' ELSE o_custkey::varchar END || ';' || floor(o_totalprice)::bigint || '.5' ||
+        CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE ';"' || o_orderpriority || ', ' || repeat(chr(34), 2) || 'x' || repeat(chr(34), 3) END AS line
+        FROM orders)
+    SELECT file, sum(strlen(line) + 1)::bigint + any_value(strlen(CASE WHEN file = 4 THEN 'o_orderkey;o_custkey;o_totalprice;urgency'
+        ELSE 'o_orderkey;o_custkey;o_totalprice;priority' END)) + 1 AS n_bytes FROM lines GROUP BY file"""
+)
 def list_files(t: Tables) -> DataFrame:
-    """Names of the files in the folder of the tables, from a listing that reads none of them."""
-    listed = files.list_files(t.spark, t.folder, "*.parquet")
-    return listed.select(F.substring_index("path", "/", -1).alias("file_name"))
+    """Sizes of text files that the orders were written to, from a listing that reads none of them."""
+    path = scratch_path(t.spark, "listed")
+    inputs.write_lines(inputs.faulty_orders(t), path)
+    listed = files.list_files(t.spark, path, "*.txt")
+    return listed.select(_file_number("path"), F.col("length").alias("n_bytes"))
 
 
 @query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}" for name in ("customer", "orders", "supplier")))
@@ -712,7 +716,7 @@ def sql_drifting() -> str:
 def _drifting(t: Tables, kind: str) -> DataFrame:
     datasource.register(t.spark)
     path = scratch_path(t.spark, "landed")
-    inputs.write_lines(inputs.drifting_readings(t, list(inputs.EVENT_TYPES)), path)
+    inputs.write_lines(inputs.drifting_readings(t, inputs.event_types(t)), path)
     return t.spark.read.format(kind).option("pattern", "*.txt").option("ids", "Date|Hour (UTC)").load(path)
 
 
@@ -744,7 +748,7 @@ def unzip_csv(t: Tables) -> DataFrame:
 def _wide_readings(t: Tables) -> DataFrame:
     """Mean event value by date and hour, one column per event type, under the landed names."""
     stations = [
-        F.max(F.when(F.col("event_type") == kind, F.col("value"))).alias(kind.upper()) for kind in inputs.EVENT_TYPES
+        F.max(F.when(F.col("event_type") == kind, F.col("value"))).alias(kind.upper()) for kind in inputs.event_types(t)
     ]
     grouped = t("events").groupBy(F.to_date("ts").alias("Date"), F.hour("ts").alias("Hour (UTC)"))
     return grouped.agg(*stations).withColumn(files.FILE_NAME, F.lit("landing/air.csv"))

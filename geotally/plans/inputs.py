@@ -15,9 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = datetime(2024, 7, 1, 12, 0, 0)
+#: The types that the given tables have, in the order of their columns. Another one in a table has a column after these.
 EVENT_TYPES = ("view", "signup", "click", "error", "purchase")
 
 
+def event_types(t: Tables) -> list[str]:
+    """Types of the events, the known ones first; there are few, and they become columns."""
+    found = {r[0] for r in t("events").select("event_type").distinct().collect() if r[0] is not None}
+    return [*EVENT_TYPES, *sorted(found - set(EVENT_TYPES))]
+
+
 class Tables:
     """Parquet tables of one folder."""
 

@@ -9,6 +9,7 @@ from datetime import datetime
 from geotally.fixed_values import PROJECTED_STATIONS, SRID_UTM17
 from geotally.functions.text import split_list
 from geotally.operators.forecast import ForecastSettings
+from geotally.sources.quarantine import ErrorBudget
 
 DATASETS = ("air", "forecasts", "traffic_volume", "geo_names", "intersections")
 LAYERS = ("markers", "heat", "frames", "charts")
@@ -20,7 +21,8 @@ class JobSettings:
 
     landing: folder of each dataset in ``DATASETS``; table_root: shared folder of the tables;
     export_folder: where to write text copies (none by default); create_tables off reads the
-    tables of an earlier run.
+    tables of an earlier run; error_budget: set faulty lines of delimited files aside up to that share
+    instead of stopping at the first.
     """
 
     landing: Mapping[str, str]
@@ -36,6 +38,7 @@ class JobSettings:
     forecast: ForecastSettings = field(default_factory=ForecastSettings)
     layers: tuple[str, ...] = LAYERS
     export_folder: str | None = None
+    error_budget: ErrorBudget | None = None
 
     def __post_init__(self) -> None:
         if isinstance(self.layers, str):

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from geotally import fixed_values as fixed
+from geotally import schemas
 from geotally.functions.calendar import any_date, weekday_name
 from geotally.operators import aggregate, clean, dedupe, enrich, forecast, geo, layers, measures, reshape, runlog
 from geotally.plans.settings import JobSettings
+from geotally.session import scratch_path
 from geotally.sinks import tables as sink
 from geotally.sinks.keyed import KeyedTable
-from geotally.sources import staging
+from geotally.sources import quarantine, staging
 from geotally.sources.files import list_files
 from geotally.sources.tables import catalog_tables
 
@@ -79,11 +82,25 @@ class Warehouse:
             ("stg_geo_names", "geo_names", staging.stage_geo_names),
             ("stg_gta_traffic_arcgis", "intersections", staging.stage_intersection_counts),
         )
+        delimited = {
+            "forecasts": (schemas.FORECASTS, staging.conform_forecasts),
+            "traffic_volume": (schemas.TRAFFIC_VOLUME, staging.conform_traffic_volume),
+            "intersections": (schemas.INTERSECTION_COUNTS, staging.conform_intersection_counts),
+        }
+        rejected = []
         for name, dataset, read in readers:
             folder = s.landing[dataset]
             landed = list_files(spark, folder).count()
-            staged = read(spark, folder, s.as_of, link.get(dataset, ""))
+            if s.error_budget and dataset in delimited:
+                schema, conform = delimited[dataset]
+                scanned = quarantine.scan(spark, folder, schema, scratch_path(spark, dataset), s.error_budget)
+                rejected.append(scanned.bad.withColumn("dataset", F.lit(dataset)))
+                staged = conform(scanned.good, s.as_of, link.get(dataset, ""))
+            else:
+                staged = read(spark, folder, s.as_of, link.get(dataset, ""))
             self._refresh("stage", s.stage_schema, name, staged, files=landed)
+        if rejected:
+            self._refresh("stage", s.stage_schema, "rejected_lines", clean.union_by_name(rejected))
         long = reshape.unpivot_stations(self.stage("stg_monthly_air_data"))
         self._refresh("stage", s.stage_schema, "stg_monthly_air_data_transpose", long)
 

@@ -96,13 +96,3 @@ RUN_LOG = table(
     ("end_time", MOMENT),
     ("files_processed", NUMBER),
 )
-
-MAP_LOAD_TIMES = table(
-    ("map", TEXT),
-    ("map_type", TEXT),
-    ("test_start", MOMENT),
-    ("test_end", MOMENT),
-    ("chrome_load_time", WHOLE),
-    ("firefox_load_time", WHOLE),
-    ("safari_load_time", WHOLE),
-)

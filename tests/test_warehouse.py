@@ -155,3 +155,26 @@ def test_settings_are_checked():
     with pytest.raises(ValueError):
         ForecastSettings(frequency="sometimes")
     assert ForecastSettings(frequency="hourly").code == "h"
+
+
+def test_faulty_lines_are_rejected_within_the_budget(spark, landing, tmp_path):
+    from geotally.sources.quarantine import BudgetExceeded, ErrorBudget
+
+    folders = {**landing, "forecasts": tmp_path / "forecasts"}
+    folders["forecasts"].mkdir()
+    text = (landing["forecasts"] / "f.csv").read_text()
+    (folders["forecasts"] / "f.csv").write_text(text + "FCKTB,Town,2024-03-01,01:00:00,one,2,0\nshort,line\n")
+    settings = JobSettings(
+        {k: str(v) for k, v in folders.items()}, str(tmp_path / "tables"), AS_OF, stage_schema="stage5", error_budget=ErrorBudget(0.05)
+    )
+    warehouse = Warehouse(spark, settings)
+    warehouse.build_staging()
+    got = sorted((r["dataset"], r["reason"], r["line"]) for r in warehouse.stage("rejected_lines").collect())
+    assert got == [("forecasts", "cells", "short,line"), ("forecasts", "type", "FCKTB,Town,2024-03-01,01:00:00,one,2,0")]
+    assert warehouse.stage("stg_monthly_forecasts").count() == text.count("\n") - 1
+    measured = {(r["step_name"], r["n_rows"], r["n_files"]) for df in warehouse.measured for r in df.collect()}
+    assert ("stg_monthly_forecasts", text.count("\n") - 1, 1) in measured
+    assert ("stg_monthly_air_data", 2 * 14 * 24, 2) in measured
+    strict = JobSettings({k: str(v) for k, v in folders.items()}, str(tmp_path / "t"), AS_OF, stage_schema="stage6", error_budget=ErrorBudget(0.001))
+    with pytest.raises(BudgetExceeded):
+        Warehouse(spark, strict).build_staging()
