@@ -25,8 +25,9 @@ def final_messages(events: DataFrame) -> DataFrame:
 
     ``message`` and ``edit`` set the text of their turn, ``delta`` adds to it, ``regenerate`` drops the turn and all
     later ones as they were before it. A turn has the newest role named for it (else an empty one), and none of its
-    events left means no turn. Events with equal seq are applied in order of kind and text; a repeated event is applied
-    as often as it is there. Null texts are empty; null ids and turns are ids and turns like others, nulls first.
+    events left means no turn. Events with equal seq are applied in order of kind and text, each as it would be alone: of
+    two that set a text the later one holds, a delta before one that sets is overwritten, and a regenerate comes last. A
+    repeated delta is added as often as it is there. Null texts are empty; null ids and turns are ids and turns like others, nulls first.
     """
     e = events.select(
         "conv_id", "seq", "kind", "turn", "role", F.coalesce("text", F.lit("")).alias("text")
@@ -35,12 +36,16 @@ def final_messages(events: DataFrame) -> DataFrame:
     turn = Window.partitionBy("conv_id", "turn")
     e = e.withColumn("cut", F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).over(earlier))
     e = e.withColumn("set", F.max(F.when(F.col("kind").isin("message", "edit"), F.col("seq"))).over(turn))
-    e = e.withColumn("named", F.max_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).over(turn))
-    live = e.where((F.col("kind") != "regenerate") & (F.col("seq") >= F.greatest(F.coalesce("cut", "seq"), F.coalesce("set", "seq"))))
-    parts = F.sort_array(F.collect_list(F.struct("seq", F.col("kind") == "delta", "kind", "text")))
-    return live.groupBy("conv_id", "turn").agg(
-        F.coalesce(F.first("named"), F.lit("")).alias("role"), F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text")
+    e = e.withColumn("named", F.max_by("role", F.when(F.col("role").isNotNull(), F.struct("seq", "kind", "text", "role"))).over(turn))
+    after = F.col("cut").isNull() | (F.col("seq") > F.col("cut"))
+    live = e.where((F.col("kind") != "regenerate") & after & (F.col("seq") >= F.coalesce("set", "seq")))
+    events = live.groupBy("conv_id", "turn").agg(
+        F.first("named").alias("named"), F.sort_array(F.collect_list(F.struct("seq", "kind", "text"))).alias("parts")
     )
+    sets = events.withColumn("held", F.array_max(F.filter("parts", lambda p: p["kind"] != "delta")))
+    added = F.filter("parts", lambda p: (p["kind"] == "delta") & F.coalesce(p > F.col("held"), F.lit(True)))
+    text = F.concat(F.coalesce("held.text", F.lit("")), F.array_join(F.transform(added, lambda p: p["text"]), ""))
+    return sets.select("conv_id", "turn", F.coalesce("named", F.lit("")).alias("role"), text.alias("text"))
 
 
 def formatted(messages: DataFrame) -> DataFrame:

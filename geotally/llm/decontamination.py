@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import ids_and_texts, with_ids
+from geotally.llm.common import ids_and_texts, unused, with_ids
 
 #: Words of a window.
 WINDOW = 10
@@ -223,3 +223,16 @@ def contamination(
         "spans",
         "items",
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without any window of the benchmark, with all their columns.
+
+    What is found depends on the text alone, so rows are dropped by their text: null ids and ids of several texts do no harm.
+    """
+    key = unused(docs, "key")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.withColumn(key, F.concat_ws(":", F.xxhash64(text), F.xxhash64(F.lit(1), text)))
+    found = contamination(keyed.select(F.col(key).alias("key"), F.col(text_col).alias("text")), benchmark, id_col="key", **options)
+    dropped = found.where("contaminated").select(F.col("key").alias(key)).distinct()
+    return keyed.join(dropped, key, "left_anti").select(docs.columns)

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import ids_and_texts, with_ids, written
+from geotally.llm.common import ids_and_texts, unused, with_ids, written
 
 #: Words of a unit at least; shorter ones are repeated by chance.
 LEAST_WORDS = 8
@@ -64,9 +64,13 @@ def repeated_units(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str
 
 
 def without_repeats(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the ``removed`` units cut out of their texts, and ``removed_spans`` with their places in the original."""
-    spans = removed.groupBy(F.col(id_col).alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed_spans"))
-    rows = docs.join(spans, docs[id_col].eqNullSafe(F.col("_id")), "left").drop("_id")
+    """``docs`` with the ``removed`` units cut out of their texts, and ``removed_spans`` with their places in the original.
+
+    All other columns stay, whatever their names; one called ``removed_spans`` is replaced.
+    """
+    own = unused(docs, "_id")
+    spans = removed.groupBy(F.col(id_col).alias(own)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed_spans"))
+    rows = docs.drop("removed_spans").join(spans, docs[id_col].eqNullSafe(F.col(own)), "left").drop(own)
     left = F.aggregate(
         "removed_spans",
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("kept")),

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from geotally.llm.common import fold, label_sample
 
-#: Bounds of the sample the model learns from: documents, and consecutive lines of a document (from its middle).
-SAMPLE_DOCS, SAMPLE_LINES = 4000, 120
+#: Bounds of the sample the model learns from: documents, and lines of one. Sampled documents are learned from whole; a longer one
+#: is not in the sample.
+SAMPLE_DOCS, SAMPLE_LINES = 4000, 400
 ROUNDS, STEPS, RATE, RIDGE = 3, 120, 0.05, 1e-3
 #: Classes of bytes whose share in a line is a feature.
 _KINDS = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".,;:'\"()-?", " \t\r\x0b\f", "|", "!"]
@@ -163,22 +164,22 @@ def fitted(lines: list[tuple[np.ndarray, np.ndarray]], quality: np.ndarray) -> L
 
 
 def trained(docs: DataFrame, labels: DataFrame, of: int = 3, held: int = 1, id_col: str = "doc_id", text_col: str = "text") -> LineCrf:
-    """Model of at most SAMPLE_DOCS labelled documents, SAMPLE_LINES lines of each; labels of fold ``held`` are not read."""
+    """Model of at most SAMPLE_DOCS whole labelled documents of up to SAMPLE_LINES lines; labels of fold ``held`` are not read."""
     sample = label_sample(labels, "quality", of, held, SAMPLE_DOCS)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    chosen = rows.join(F.broadcast(sample), "doc_id")  # SAMPLE_DOCS rows of two numbers
+    # SAMPLE_DOCS rows of two numbers. Ids are carried as text, whatever their type.
+    chosen = rows.join(F.broadcast(sample), "doc_id").withColumn("doc_id", F.col("doc_id").cast("string"))
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for i, t, q in zip(b["doc_id"], b["text"], b["label"], strict=True):
                 x, s = line_features(t)
-                at = max(0, (len(s) - SAMPLE_LINES) // 2)
-                x, s = x[at : at + SAMPLE_LINES], s[at : at + SAMPLE_LINES]
-                out.append((i, q, x.astype(np.float32).tobytes(), s.tobytes()))
+                if len(s) <= SAMPLE_LINES:
+                    out.append((i, q, x.astype(np.float32).tobytes(), s.tobytes()))
             yield pd.DataFrame(out, columns=["doc_id", "quality", "x", "sizes"])
 
-    got = sorted(chosen.mapInPandas(each, "doc_id long, quality int, x binary, sizes binary").collect(), key=lambda r: r[:3])
+    got = sorted(chosen.mapInPandas(each, "doc_id string, quality int, x binary, sizes binary").collect(), key=lambda r: r[:3])
     lines = [(np.frombuffer(r.x, np.float32).reshape(-1, WIDTH).astype(float), np.frombuffer(r.sizes, np.int64)) for r in got]
     return fitted(lines, np.array([min(1, max(0, r.quality)) for r in got], int))
 

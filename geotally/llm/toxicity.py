@@ -12,17 +12,17 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
-from math import log
+from math import exp, log
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotally.llm.common import fold, ids_and_texts, label_sample, with_ids
+from geotally.llm.common import fold, ids_and_texts, label_sample, with_ids, written
 
 #: Bounds of the sample the scores are learned from, and of the word features that the model keeps.
-SAMPLE_DOCS, MOST_FEATURES = 12_000, 20_000
+SAMPLE_DOCS = 12_000
 #: Letters a character may stand for in disguise.
 LOOKS_LIKE = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -213,11 +213,9 @@ def trained(docs: DataFrame, labels: DataFrame, of: int = 4, held: int = 2, id_c
         yield pd.DataFrame([(f, h, t, n) for (f, h), (t, n) in met.items()], columns=["feature", "half", "toxic", "n"])
 
     both = [F.sum(F.when(F.col("half") == h, F.col(c)).otherwise(0)).alias(f"{c}{h}") for h in (0, 1) for c in ("toxic", "n")]
-    counts = chosen.mapInPandas(counted, "feature string, half int, toxic long, n long").groupBy("feature").agg(*both)
+    counts = written(chosen.mapInPandas(counted, "feature string, half int, toxic long, n long").groupBy("feature").agg(*both), "features")
     all_toxic, all_n = F.col("toxic0") + F.col("toxic1"), F.col("n0") + F.col("n1")
-    worth = counts.where((F.col("feature") == "") | ((all_n >= LEAST_DOCS) & (all_toxic * 4 >= all_n)))
-    got = worth.orderBy(F.col("feature") != "", -all_toxic / all_n * F.log(1 + all_toxic), "feature").limit(MOST_FEATURES + 1).collect()
-    total = next((r for r in got if r.feature == ""), None)
+    total = counts.where("feature = ''").first()
     if total is None or not 0 < total.toxic0 + total.toxic1 < total.n0 + total.n1:
         return ToxicModel(chars, {})
 
@@ -225,6 +223,10 @@ def trained(docs: DataFrame, labels: DataFrame, of: int = 4, held: int = 2, id_c
         return log((toxic + of_all * SMOOTHING) / (n - toxic + (1 - of_all) * SMOOTHING)) - log(of_all / (1 - of_all))
 
     share = (total.toxic0 + total.toxic1) / (total.n0 + total.n1)
+    # Every feature of high odds in half or all of the sample, which bounds them. Odds are monotone in the smoothed share, to be sure by half.
+    likely = [(t + share * SMOOTHING) / (n - t + (1 - share) * SMOOTHING) for t, n in ((F.col("toxic0"), F.col("n0")), (all_toxic, all_n))]
+    worth = counts.where((F.col("feature") != "") & (all_n >= LEAST_DOCS) & (all_toxic * 4 >= all_n))
+    got = worth.where(F.greatest(*likely) >= share / (1 - share) * exp(LEAST_ODDS) * 0.99).collect()
     first = {r.feature: odds(r.toxic0, r.n0, share) for r in got if r.feature and r.n0 >= LEAST_DOCS - 1}
     final = {r.feature: odds(r.toxic0 + r.toxic1, r.n0 + r.n1, share) for r in got if r.feature}
     draft = ToxicModel(chars, {f: s for f, s in first.items() if s >= LEAST_ODDS})

@@ -68,3 +68,15 @@ def test_no_python_in_the_plan(spark):
     rows = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = chat.read_back(chat.chats_from_events(chat.events_of_rows(rows)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_events_of_one_seq_are_applied_in_order(spark):
+    events = [
+        (1, 5, "message", 0, "user", "x"), (1, 5, "message", 0, "user", "x"),
+        (2, 1, "edit", 0, "user", "b"), (2, 1, "edit", 0, "user", "a"), (2, 2, "delta", 0, None, "!"), (2, 2, "delta", 0, None, "!"),
+        (3, 1, "message", 0, "user", "set"), (3, 1, "delta", 0, None, "before"),
+        (4, 1, "message", 0, "user", "kept"), (4, 2, "regenerate", 0, None, None), (4, 2, "delta", 0, None, "gone"), (4, 3, "delta", 0, None, "new"),
+        (5, 1, "delta", 0, "user", "only"), (5, 1, "regenerate", 0, None, None),
+    ]
+    got = {r.conv_id: r.text for r in chat.final_messages(spark.createDataFrame(events, EVENTS)).collect()}
+    assert got == {1: "x", 2: "b!!", 3: "set", 4: "new"}

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from geotally.llm.decontamination import Matcher, contamination, windows
+from geotally.llm.decontamination import Matcher, contamination, windows, without_contaminated
 from tests.llm.helpers import ODD_TEXTS, clashing, docs
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -74,3 +74,13 @@ def test_occurrences_at_ends_of_stretches_and_texts():
         (n, spans, items), (m, none, _) = matcher.scan([text, item[:-1]])
         assert (n, spans, items) == (12, [[1, 11]], ["7"]) and not none and m == 10
     assert len(windows(item + " more")) == 2
+
+
+def test_rows_that_stay_by_text(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    rows = [(None, f"x {item} y"), (1, f"x {item} y"), (1, "clean text"), (None, "clean too"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'mine' AS key")
+    benchmark = spark.createDataFrame([("i", item)], "item_id string, text string")
+    got = without_contaminated(df, benchmark)
+    assert got.columns == df.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == [("1", "clean text"), ("2", "None"), ("None", "clean too")]

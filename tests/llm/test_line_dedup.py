@@ -58,3 +58,11 @@ def test_passage_in_many_documents_is_found_and_others_are_left_alone(spark):
 
 def test_empty_table(spark):
     assert repeated_units(docs(spark, [])).collect() == []
+
+
+def test_cutting_keeps_columns_of_any_name(spark):
+    text = "one two three four five six seven eight nine. Else"
+    df = docs(spark, [text, text]).selectExpr("*", "'mine' AS _id", "'old' AS removed_spans")
+    cut = without_repeats(df, repeated_units(df))
+    got = {r.doc_id: (r.text, r._id, r.removed_spans) for r in cut.collect()}
+    assert got[0] == (text, "mine", None) and got[1][:2] == (" Else", "mine") and got[1][2]

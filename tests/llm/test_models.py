@@ -161,3 +161,29 @@ def test_char_counts_are_of_all_documents(spark):
     texts = ["abc abc", "abc, xyz", None, "日本"]
     model = toxicity.char_model(docs(spark, texts))
     assert model.counts == {"  a": 3, " ab": 3, "abc": 3, "bc ": 3, "  x": 1, " xy": 1, "xyz": 1, "yz ": 1}
+
+
+def test_quality_of_documents_with_text_ids_learned_from_whole(spark, monkeypatch):
+    bad, good = "buy now !!! | | | 99 99 99 99\n" * 3, "A sentence of plain words that ends as it should.\n"
+    rows = [(f"id{k}", bad + good * 150 if k % 2 else good * 153) for k in range(60)] + [("long", good * 500)]
+    labels = [(f"id{k}", 1 - k % 2, 0) for k in range(60)] + [("long", 0, 0)]
+    documents = spark.createDataFrame(rows, "doc_id string, text string")
+    marks = spark.createDataFrame(labels, "doc_id string, quality int, toxic int")
+    got = {r.doc_id: r.predicted for r in quality_crf.quality(documents, marks).collect()}
+    # Bad lines are at the head only, far from the middle; a document beyond the bound is scored, but not learned from.
+    assert [got[f"id{k}"] for k in range(60)] == [1 - k % 2 for k in range(60)] and got["long"] == 1
+    assert {type(r.doc_id) for r in quality_crf.quality(documents, marks).collect()} == {str}
+
+
+def test_every_telling_word_counts(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"bad{letters[k // 676]}{letters[k // 26 % 26]}{letters[k % 26]}word" for k in range(17_000)]
+    words += [f"ill{letters[k // 676]}{letters[k // 26 % 26]}{letters[k % 26]}word" for k in range(5_000)]
+    rows = [(k, " ".join(["plain text here"] + (words if k % 2 else []))) for k in range(40)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, 1, k % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    model = toxicity.trained(documents, marks)
+    assert not hasattr(toxicity, "MOST_FEATURES")
+    # Words with tripled letters are restored first, so that they are one word with another.
+    assert sum(f.startswith("=") for f in model.odds) > 20_000
+    assert "=badxyzword" in model.odds and "=illabcword" in model.odds
