@@ -20,35 +20,29 @@ NEAR_WORDS, NEAR_SHARE = 5, 0.8
 NEAR_BITS = 3
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose id is not among ``dropped`` (doc_id)."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line model finds good (a score of 0.5 or more)."""
+    """Documents that the line model finds good (a score of 0.5 or more). Rows are judged by their text; ids do not count."""
     model = quality_crf.trained(docs, table(spark, sf_dir, "labels"))
     return docs.where(quality_crf.score(model, F.col("text")) >= 0.5)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text, blanks aside: the longest, then the smallest id."""
-    return _without(docs, exact_dedup.exact_dedup(docs).where("NOT kept"))
+    """One document of each text, blanks aside: the longest, then the smallest id, a null one last. Of repeated rows one stays."""
+    return exact_dedup.one_of_each(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest id."""
+    """One document of each group of near-duplicates: the smallest id, a null one last. Of repeated rows one stays."""
     return near_dedup.without_near_duplicates(docs, words=NEAR_WORDS, radius=NEAR_BITS, least=NEAR_SHARE)
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of the benchmark."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    """Documents without any window of the benchmark. Rows are dropped by their text; ids do not count."""
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of token ids."""
+    """Pieces of documents in sequences of token ids; an id that is null or there twice names the pieces of each of its rows."""
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
