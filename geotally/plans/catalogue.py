@@ -1328,6 +1328,34 @@ def merged_log(t: Tables) -> DataFrame:
 # Tables kept up to date.
 
 
+@query(SQL_READINGS)
+def appended_once(t: Tables) -> DataFrame:
+    """Readings appended by file: two files first, then all, of which those two add nothing."""
+    path = scratch_path(t.spark, "appended")
+    rows = inputs.readings(t)
+    for load in (rows.where(F.col("src_filename").isin("view.csv", "click.csv")), rows, rows):
+        sink.append_new_files(load, path)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    """SELECT 'nation' AS table_name, n_nationkey::varchar AS "key", n_name AS "name" FROM nation
+    UNION ALL SELECT 'region', r_regionkey::varchar, r_name FROM region"""
+)
+def exported_tables(t: Tables) -> DataFrame:
+    """Tables of a catalogue exported as text, one folder each, and read back; a third one is left out by its name."""
+    folder = scratch_path(t.spark, "exported")
+    with _own_database(t.spark) as database:
+        for name in ("nation", "region", "supplier"):
+            t.spark.sql(f"CREATE VIEW {database}.{name} AS SELECT * FROM parquet.`{t.folder}/{name}.parquet`")
+        names = [r[0] for r in catalog_tables(t.spark, database, not_in=["supplier"]).collect()]
+        sink.export_tables(t.spark, database, names, folder)
+    read = [t.spark.read.option("header", True).option("escape", '"').csv(f"{folder}/{n}").withColumn("table_name", F.lit(n)) for n in names]
+    return clean.union_by_name(
+        [df.select("table_name", F.col(f"{n[0]}_{n}key").alias("key"), F.col(f"{n[0]}_name").alias("name")) for n, df in zip(names, read, strict=True)]
+    )
+
+
 def _kept_means(t: Tables, buckets: dict) -> DataFrame:
     """Means of three loads, each folded into the sums and counts of those before."""
     table = KeyedTable(t.spark, scratch_path(t.spark, "means"), [*KEPT_KEYS, kept_means.BUCKET], 8)
