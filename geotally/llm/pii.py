@@ -1,32 +1,36 @@
 """Information-theoretic sanitisation of personal data.
 
-Patterns find the protected entities: e-mail and IP addresses, payment cards, phone numbers. Words near a mention may reveal
-the entity as well. How much a word tells about an entity is their pointwise mutual information over the documents of the
-corpus; a word that tells nearly all there is to know, in several documents, is generalised or removed.
+Patterns find the protected entities: e-mail and IP addresses, payment cards, phone numbers. Other words of the documents that
+mention one may reveal it as well. How much a word tells about an entity is their pointwise mutual information over the documents
+of the corpus; a word that tells nearly all there is to know, in several documents, is generalised or removed wherever it stands, in
+documents without a mention too.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotally.llm.common import ids_and_texts, with_ids, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words on either side of a mention that count as its context, and letters of a word at least.
-CONTEXT, LEAST_LETTERS = 8, 3
+#: Letters of a term at least.
+LEAST_LETTERS = 3
 #: Documents that stand behind a word and its entity at least; share of the entity's information that a word may give away
 #: before it is generalised, and before it is removed.
 LEAST_DOCS, GENERALISE, REMOVE = 3, 0.9, 0.98
-#: Different words a task counts before it hands them on.
-COUNTED_AT_ONCE = 300_000
+#: Different words a task counts before it hands them on, and documents it works on at once.
+COUNTED_AT_ONCE, AT_ONCE = 200_000, 500
+#: Telling terms that are sent to every task at most; beyond that they are joined with the occurrences of all words.
+SENT_TERMS = 200_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -81,9 +85,8 @@ def base_spans(text: str | None) -> list[tuple[str, int, int, str]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def contexts(text: str, spans: list[tuple[str, int, int, str]]) -> list[dict]:
-    """Each (term, entity) of a text once, with the places of the term in the contexts of the entity."""
-    words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+def free_words(text: str, spans: list[tuple[str, int, int, str]]) -> list[tuple[int, int, str]]:
+    """(start, end, term) of the words outside all mentions; a term is the word in lower case."""
     taken, z = [], 0
     for _, a, b, _ in sorted(spans, key=lambda s: s[1]):
         if a >= z:
@@ -91,115 +94,145 @@ def contexts(text: str, spans: list[tuple[str, int, int, str]]) -> list[dict]:
         z = max(z, b)
         taken[-1][1] = z
     starts = [a for a, _ in taken]
-    free = []
-    for a, b in words:
-        k = bisect_left(starts, b) - 1
-        if b - a >= LEAST_LETTERS and (k < 0 or taken[k][1] <= a):
-            free.append((a, b))
-    firsts = [a for a, _ in free]
-    met: dict[tuple[str, str], set[tuple[int, int]]] = defaultdict(set)
-    for kind, a, b, entity in spans:
-        left, right = bisect_left(firsts, a), bisect_left(firsts, b)
-        for x, y in free[max(0, left - CONTEXT) : left] + free[right : right + CONTEXT]:
-            met[text[x:y].lower(), f"{kind}:{entity}"].add((x, y))
-    return [{"term": t, "entity": e, "places": [{"start": x, "end": y} for x, y in sorted(p)]} for (t, e), p in met.items()]
-
-
-def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, id, base, near) of each row of ``docs``: its base spans, and the terms around them."""
+    out = []
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        if b - a >= LEAST_LETTERS:
+            k = bisect_left(starts, b) - 1
+            if k < 0 or taken[k][1] <= a:
+                out.append((a, b, m.group().lower()))
+    return out
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        row = TaskContext.get().partitionId() << 36
-        for b in batches:
-            base, near = [], []
-            for t in b["text"]:
-                spans = base_spans(t)
-                base.append([{"start": a, "k": KINDS.index(kind), "end": z, "entity": f"{kind}:{e}"} for kind, a, z, e in spans])
-                near.append(contexts(t, spans) if spans else [])
-            yield pd.DataFrame({"row": range(row, row + len(b)), "id": b["id"], "base": base, "near": near})
-            row += len(b)
 
-    found = ids_and_texts(docs, id_col, text_col).mapInPandas(
-        each,
-        "row long, id string, base array<struct<start: int, k: int, end: int, entity: string>>, "
-        "near array<struct<term: string, entity: string, places array<struct<start: int, end: int>>>>",
-    )
-    return with_ids(found, docs, id_col)
+def terms_of(text: str, spans: list[tuple[str, int, int, str]]) -> set[str]:
+    """The different terms of a text outside all mentions."""
+    if spans:
+        return {t for *_, t in free_words(text, spans)}
+    return {w.lower() for w in set(_WORD.findall(text)) if len(w) >= LEAST_LETTERS}
 
 
-def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, docs): in how many documents each word is."""
+def _some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield from (b.iloc[first : first + AT_ONCE] for first in range(0, len(b), AT_ONCE))
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        met: Counter[str] = Counter()
-        for b in batches:
-            for t in b["text"]:
-                met.update({w for w in set(_WORD.findall((t or "").lower())) if len(w) >= LEAST_LETTERS})
-                if len(met) > COUNTED_AT_ONCE:
-                    yield pd.DataFrame(met.items(), columns=["term", "docs"])
-                    met.clear()
-        yield pd.DataFrame(met.items(), columns=["term", "docs"])
 
-    rows = docs.select(F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    return rows.mapInPandas(each, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
+def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """What the estimate needs, from one pass over the texts, in two kinds of rows.
+
+    Documents with mentions have their ``entities`` and ``terms``, each once; other rows have a ``term`` and in how many ``docs`` of
+    a task it is, the null term being all documents.
+    """
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["entities", "terms", "term", "docs"]
+        met: Counter[str | None] = Counter()
 
+        def counts() -> pd.DataFrame:
+            found = pd.DataFrame([(None, None, t, n) for t, n in met.items()], columns=columns)
+            met.clear()
+            return found
 
-def disclosing(found: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        for b in _some(batches):
+            mentioned = []
+            for t in b["text"]:
+                text = t or ""
+                spans = base_spans(text)
+                terms = terms_of(text, spans)
+                met.update(terms)
+                if spans:
+                    mentioned.append((sorted({f"{kind}:{e}" for kind, _, _, e in spans}), list(terms), None, 0))
+            met[None] += len(b)
+            yield pd.DataFrame(mentioned, columns=columns)
+            if len(met) > COUNTED_AT_ONCE:
+                yield counts()
+        yield counts()
+
+    return docs.select(F.col(text_col).alias("text")).mapInPandas(each, "entities array<string>, terms array<string>, term string, docs long")
+
+
+def disclosing(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, entity, told): pairs whose term tells at least GENERALISE of the entity's information.
 
-    told = PMI(term, entity) / -log p(entity), all counted in documents; it is 1 if the term is met with the entity only.
+    told = PMI(term, entity) / -log p(entity), all counted in whole documents; it is 1 if the term is met with the entity only.
+    Entities in fewer than LEAST_DOCS documents have no pair in as many, so their documents are not paired with their terms.
     """
-    n = found.count()
-    entities = found.select("row", F.explode("base.entity").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = found.select(F.explode("near").alias("p")).groupBy("p.term", "p.entity").agg(F.count(F.lit(1)).alias("n_both"))
-    often = pairs.where(F.col("n_both") >= LEAST_DOCS)
-    known = often.join(document_counts(docs, text_col), "term").join(entities, "entity")
+    found = written(counted(docs, text_col), "counted")
+    mentioned = found.where("entities IS NOT NULL").select("entities", "terms")
+    n = found.where("entities IS NULL AND term IS NULL").agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
+    entities = mentioned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    often = written(entities.where(F.col("n_entity") >= LEAST_DOCS), "entities")
+    paired = mentioned.select("terms", F.explode("entities").alias("entity")).join(often.select("entity"), "entity", "left_semi")
+    pairs = paired.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    shared = written(pairs.where(F.col("n_both") >= LEAST_DOCS), "pairs")
+    every = found.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs").alias("docs"))
+    known = shared.join(every, "term").join(often, "entity")
     # An entity that every document has gives nothing to tell.
     told = F.log(F.col("n_both") * F.lit(n) / (F.col("docs") * F.col("n_entity"))) / -F.log(F.col("n_entity") / F.lit(n))
     return known.where(F.col("n_entity") < n).select("term", "entity", told.alias("told")).where(F.col("told") >= GENERALISE)
 
 
-def _joined(spans: Column) -> Column:
-    names = F.array(*map(F.lit, KINDS))
-    return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", F.get(names, s["k"]), s["start"], s["end"])), ",")
+def _shown(spans: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{KINDS[k]}:{a}:{z}" for a, k, z in sorted(spans))
+
+
+ROWS = "id string, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, terms array<struct<start: int, end: int, told: double>>"
+
+
+def _row(own, text: str, terms: list[tuple[int, int, float]]) -> tuple:
+    base = [(a, KINDS.index(kind), z) for kind, a, z, _ in base_spans(text)]
+    counts = [sum(k == kind for _, k, _ in base) for kind in range(4)]
+    added = [(a, KINDS.index("term"), z) for a, z, _ in terms]
+    digest = hashlib.sha256(_shown(base).encode()).hexdigest()
+    return (own, *counts, digest, _shown(base + added), [{"start": a, "end": z, "told": t} for a, z, t in terms])
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_sent: int | None = None) -> DataFrame:
     """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, terms), one row per row of ``docs``.
 
     spans are kind:start:end in code points, the end exclusive, by start and then kind; terms are (start, end, told) of
-    the words that the method adds. Null texts are empty; words inside a mention are never terms.
+    the words that the method adds, with the most that they tell of any entity. Null texts are empty; words inside a mention are
+    never terms; null ids are kept; repeated rows count each; an empty table gives no rows.
     """
-    found = written(mentions(docs, id_col, text_col), "mentions")
-    tells = disclosing(found, docs, text_col)
-    near = found.select("row", F.explode("near").alias("p")).select("row", "p.term", "p.entity", "p.places")
-    terms = (
-        near.join(tells, ["term", "entity"])
-        .select("row", "told", F.explode("places").alias("at"))
-        .groupBy("row", "at.start", "at.end")
-        .agg(F.max("told").alias("told"))
-        .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "told"))).alias("terms"))
-        .withColumnRenamed("row", "term_row")
-    )
-    base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end")))
-    none = F.array().cast("array<struct<start: int, end: int, told: double>>")
-    rows = found.join(terms, found.row == terms.term_row, "left").select("id", "base", F.coalesce("terms", none).alias("terms"))
-    added = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index("term")).alias("k"), s["end"].alias("end")))
-    return rows.select(
-        F.col("id").alias(id_col),
-        *_counts(),
-        F.sha2(_joined(base), 256).alias("base_sha256"),
-        _joined(F.concat(base, added)).alias("spans"),
-        "terms",
-    )
-
-
-def _counts() -> list[Column]:
-    def of(k: int) -> Column:
-        return F.size(F.filter("base", lambda s: s["k"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-
-    return [of(k) for k in range(4)]
+    telling = written(disclosing(docs, text_col).groupBy("term").agg(F.max("told").alias("told")), "telling")
+    rows = ids_and_texts(docs, id_col, text_col)
+    columns = [c.split()[0] for c in ROWS.split(", ")[:7]] + ["terms"]
+    if telling.count() <= (SENT_TERMS if most_sent is None else most_sent):
+        sent = docs.sparkSession.sparkContext.broadcast({r.term: r.told for r in telling.toLocalIterator()})
+
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            told = sent.value
+            for b in _some(batches):
+                out = []
+                for own, t in zip(b["id"], b["text"], strict=True):
+                    text = t or ""
+                    met = told and not told.keys().isdisjoint(w.lower() for w in set(_WORD.findall(text)))
+                    words = free_words(text, base_spans(text)) if met else []
+                    out.append(_row(own, text, [(a, z, told[w]) for a, z, w in words if w in told]))
+                yield pd.DataFrame(out, columns=columns)
+
+        return with_ids(rows.mapInPandas(each, ROWS), docs, id_col, id_col)
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        row = TaskContext.get().partitionId() << 36
+        for b in _some(batches):
+            words = [free_words(t or "", base_spans(t)) for t in b["text"]]
+            lists = [[{"start": a, "end": z, "term": w} for a, z, w in ws] for ws in words]
+            yield pd.DataFrame({"row": range(row, row + len(b)), "id": b["id"], "text": b["text"], "words": lists})
+            row += len(b)
+
+    # Written, because rows are numbered as they come.
+    words = written(rows.mapInPandas(placed, "row long, id string, text string, words array<struct<start: int, end: int, term: string>>"), "words")
+    found = words.select("row", F.explode("words").alias("w")).select("row", "w.*").join(telling, "term")
+    lists = found.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "told"))).alias("terms"))
+
+    def shown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _some(batches):
+            out = []
+            for own, t, terms in zip(b["id"], b["text"], b["terms"], strict=True):
+                out.append(_row(own, t or "", [(x["start"], x["end"], x["told"]) for x in terms] if terms is not None else []))
+            yield pd.DataFrame(out, columns=columns)
+
+    return with_ids(words.select("row", "id", "text").join(lists, "row", "left").mapInPandas(shown, ROWS), docs, id_col, id_col)
 
 
 def sanitised(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

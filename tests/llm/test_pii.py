@@ -69,7 +69,7 @@ def test_terms_that_tell_an_entity(spark):
         a = texts[k].index("Kestrel")
         assert f"term:{a}:{a + 7}" in got[k].spans.split(",")
     assert all(not got[k].spans for k in range(3, 63))
-    # "they" is near the entity too, but says nothing about it.
+    # "they" is with the entity too, but says nothing about it.
     assert "term" not in got[2].spans.replace(f"term:{texts[2].index('Kestrel')}", "")
 
 
@@ -92,3 +92,45 @@ def test_empty_table_and_repeated_rows(spark):
     assert personal_data(docs(spark, [])).collect() == []
     df = spark.createDataFrame([(1, "a@b.co"), (1, "a@b.co"), (None, None)], "doc_id long, text string")
     assert sorted((str(r.doc_id), r.spans) for r in personal_data(df).collect()) == [("1", "email:0:6"), ("1", "email:0:6"), ("None", "")]
+
+
+def brute_terms(texts):
+    from collections import Counter
+    from math import log
+
+    def words(text):
+        inside = [(a, z) for _, a, z, _ in base_spans(text)]
+        return [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]+", text) if len(m.group()) >= 3 and all(m.end() <= a or m.start() >= z for a, z in inside)]
+
+    n = len(texts)
+    terms = [{w for *_, w in words(t or "")} for t in texts]
+    entities = [{f"{kind}:{e}" for kind, _, _, e in base_spans(t)} for t in texts]
+    of_term, of_entity = Counter(w for ws in terms for w in ws), Counter(e for es in entities for e in es)
+    both = Counter((w, e) for ws, es in zip(terms, entities) for w in ws for e in es)
+    told = {}
+    for (w, e), k in both.items():
+        if k >= 3 and of_entity[e] < n:
+            x = log(k * n / (of_term[w] * of_entity[e])) / -log(of_entity[e] / n)
+            if x >= 0.9 - 1e-12:
+                told[w] = max(told.get(w, 0), x)
+    return [[(a, z, round(told[w], 9)) for a, z, w in words(t or "") if w in told] for t in texts]
+
+
+def long_corpus():
+    fill = "then there were many words between one thing and another on that day of the year in town"
+    near = [f"report {k} {fill} kestrel {fill} sent to boss@acme.example {'seen' if k else ''}" for k in range(3)]
+    other = [f"{fill} number {k} of all" for k in range(120)]
+    return [*near, "a letter that kestrel wrote, with KESTREL twice", *other, *ODD_TEXTS, "call 10.0.0.1 heron", "ping 10.0.0.1 heron", "10.0.0.1 heron heron"]
+
+
+@pytest.mark.parametrize("most_sent", [None, 0])
+def test_terms_equal_counting_over_whole_documents(spark, most_sent):
+    texts = long_corpus()
+    want = brute_terms(texts)
+    got = {r.doc_id: r for r in personal_data(clashing(docs(spark, texts)), most_sent=most_sent).collect()}
+    assert {k: [(t.start, t.end, round(t.told, 9)) for t in r.terms] for k, r in got.items()} == dict(enumerate(want))
+    # Far from the mention, and in a document that has none.
+    assert [texts[3][a:z] for a, z, _ in want[3]] == ["kestrel", "KESTREL"]
+    assert any(texts[0][a:z] == "kestrel" for a, z, _ in want[0])
+    base = [f"{kind}:{a}:{z}" for kind, a, z, _ in base_spans(texts[0])]
+    assert [s for s in got[0].spans.split(",") if not s.startswith("term")] == base
