@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from geotally.llm.common import written
@@ -32,11 +32,18 @@ def components(links: DataFrame) -> DataFrame:
     longest path. Links with a null end or from a node to itself do not count.
     """
     first = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a != b")
-    now, mark = written(first.distinct(), "links"), None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark or seen[0] == 0:
+    now, mark = _written(first.distinct())
+    while mark[0]:
+        before = mark
+        now, mark = _written(_small_star(_large_star(now)))
+        if mark == before:
             break
-        mark = tuple(seen)
-        now = written(_small_star(_large_star(now)), "links")
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).union(now.select("v", "v")).distinct()
+
+
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as written, and a mark of them (their number, and two sums) that the writing job takes along."""
+    seen = Observation()
+    sums = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.col("v").cast("decimal(38,0)")).alias("s")]
+    found = written(links.observe(seen, *sums), "links")
+    return found, (seen.get["n"], seen.get["x"], seen.get["s"])

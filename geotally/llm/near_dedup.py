@@ -1,10 +1,14 @@
 """Near-duplicates by the Jaccard similarity of shingle sets: SimHash makes the first candidates, every link is verified.
 
-Texts with equal sets are one class, and only classes are compared. What the fingerprints miss is found by prefixes: in any one order of
-all shingles, two sets of a similarity of ``least`` or more share one among the first n - ceil(least n) + 1 of each, and no earlier one
-of either; rare shingles come first, so few sets share any. Links are looked for between components only, at first with one class of
-each shared shingle, so a dense group gives fewer of its pairs; those of classes that are still apart are all compared. Counts of
-shingles by hash bound what two sets can share, so that whole sets are made and compared only where that is enough.
+First, what cannot have a partner is set aside. Two sets of a similarity of ``least`` or more differ in no more than (1 - least) n of
+either's n shingles, so a set with more shingles that no other set has is closed. To see that, the shingles in a fixed share of the
+hash values are enough; they are counted in one exchange.
+
+Open texts with equal sets are one class, and only classes are compared. What the fingerprints miss is found by prefixes: in any one
+order of all shingles, two alike sets share one among the first n - ceil(least n) + 1 of each, and no earlier one of either; rare
+shingles come first, so few sets share any. Links are looked for between components only, at first with one class of each shared
+shingle, so a dense group gives fewer of its pairs; those of classes that are still apart are all compared. Counts of shingles by
+hash bound what two sets can share, so that whole sets are made and compared only where that is enough.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ from geotally.llm import simhash
 from geotally.llm.common import Scratch, unused
 from geotally.llm.components import components
 
+#: Share of the hash values whose shingles are counted to close sets. A set without partners has most of its shingles alone, and
+#: must show more than 1 - least of them in this share; a smaller share leaves more sets open, and the result the same.
+COUNTED_SHARE = 0.35
 #: Documents from which the order of the shingles is estimated, and frequent shingles that it tells apart. Any order gives
 #: the same result; a good one gives few candidates.
 SAMPLE_DOCS, FREQUENT = 20_000, 200_000
@@ -49,6 +56,31 @@ def _some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from (b.iloc[first : first + AT_ONCE] for first in range(0, len(b), AT_ONCE))
 
 
+def closed(rows: DataFrame, words: int, least: float) -> DataFrame:
+    """(t,) of those of ``rows`` (t, text) whose sets have too many shingles of their own to be like any other."""
+    top = np.uint64(int(COUNTED_SHARE * (1 << 32)) << 32)
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _some(batches):
+            sets = [shingle_set(t, words) for t in b["text"]]
+            chosen = [x[x.view(np.uint64) < top] for x in sets]
+            sizes = [len(x) for x in chosen]
+            yield pd.DataFrame(
+                {
+                    "t": np.repeat(b["t"].to_numpy(np.int64), sizes),
+                    "n": np.repeat(np.array([len(x) for x in sets], np.int32), sizes),
+                    "key": np.concatenate(chosen),
+                }
+            )
+
+    keys = rows.mapInPandas(each, "t long, n int, key long")
+    # Of a shingle that several sets have, any of them may be named: it does not count.
+    alone = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets"), F.min("t").alias("t"), F.min("n").alias("n")).where("sets = 1")
+    return alone.groupBy("t").agg(F.count(F.lit(1)).alias("alone"), F.max("n").alias("n")).where(
+        F.col("alone") > (1 - least) * F.col("n") + SLACK
+    ).select("t")
+
+
 def frequent(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several of a sample of ``rows`` (t1, text) have, sorted, and their counts."""
     share = min(1.0, SAMPLE_DOCS / max(1, rows.count()))
@@ -174,7 +206,10 @@ def without_near_duplicates(docs: DataFrame, words: int, radius: int, least: flo
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.withColumns({t1: F.xxhash64(text), t2: F.xxhash64(F.lit(1), text)})
     # The third key tells rows of one text apart by id, so that one of many copies stands for them.
-    rows = keyed.select(F.col(t1).alias("t1"), F.col(t2).alias("t2"), F.xxhash64(id_col).alias("t3"), text.alias("text"))
+    whole = keyed.select(F.col(t1).alias("t1"), F.col(t2).alias("t2"), F.xxhash64(id_col).alias("t3"), text.alias("text"))
+    whole = whole.withColumn("t", F.xxhash64(*KEYS))
+    done = scratch.written(closed(whole.select("t", "text"), words, least), "closed")
+    rows = whole.join(done, "t", "left_anti").select(*KEYS, "text")
     marked = scratch.written(signatures(rows, words, least), "signatures")
     one = F.min(F.struct(*KEYS, "fp")).alias("one")
     grouped = marked.groupBy("c1", "c2").agg(one, F.count(F.lit(1)).alias("n_rows"))
