@@ -1476,10 +1476,10 @@ def density_layer(t: Tables) -> DataFrame:
 
 @query(
     f"""SELECT objectid, latitude, longitude, count_date FROM ({SQL_COUNTS})
-    WHERE latitude BETWEEN 43.2 AND 43.4 AND longitude BETWEEN -79.5 AND -79.3"""
+    WHERE latitude BETWEEN 43.02 AND 43.1 AND longitude BETWEEN -79.1 AND -79.02"""
 )
 def points_in_box(t: Tables) -> DataFrame:
     """Intersections written along the curve of their cells, and read back by a box."""
     path = scratch_path(t.spark, "points")
     geo.write_points(inputs.intersections(t).select("objectid", "latitude", "longitude", "count_date"), path)
-    return geo.points_in_box(t.spark.read.parquet(path), 43.2, -79.5, 43.4, -79.3)
+    return geo.points_in_box(t.spark.read.parquet(path), 43.02, -79.1, 43.1, -79.02)
