@@ -246,19 +246,26 @@ def _sorted_runs(strings: DataFrame, length: int) -> DataFrame:
 
 
 def _counted_runs(strings: DataFrame, length: int) -> DataFrame:
-    """The same of strings that are too many for one task, by a digest of 128 bits of each string of ``length`` bytes."""
+    """The same of strings that are too many for one task, by a digest of 128 bits of each string of ``length`` bytes.
+
+    All stretches are counted, but only those that stand once get runs: the others are repeated whole.
+    """
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for a, d, t in zip(b["anchor"], b["digest"], b["bytes"], strict=True):
+            for a, d, copies, t in zip(b["anchor"], b["digest"], b["copies"], b["bytes"], strict=True):
                 digests = [xxhash.xxh3_128_digest(t[k : k + length]) for k in range(len(t) - length + 1)]
-                yield pd.DataFrame({"anchor": a, "digest": d, "start": np.arange(len(digests), dtype=np.int32), "string": digests})
+                starts = np.arange(len(digests), dtype=np.int32)
+                yield pd.DataFrame({"anchor": a, "digest": d, "copies": copies, "start": starts, "string": digests})
 
-    single = strings.dropDuplicates(["anchor", "digest"]).mapInPandas(windows, "anchor long, digest long, start int, string binary")
+    single = strings.dropDuplicates(["anchor", "digest"]).mapInPandas(windows, "anchor long, digest long, copies long, start int, string binary")
     several = single.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
-    starts = single.join(several, "string", "left_semi")
-    one = F.struct(F.col("start").alias("first"), F.col("start").alias("last"))
-    return starts.groupBy("anchor", "digest").agg(F.sort_array(F.collect_list(one)).alias("runs"))
+    found = single.where("copies = 1").join(several, "string", "left_semi")
+    # A stretch has MOST_STARTS starts at most; those that follow each other are one run.
+    starts = found.groupBy("anchor", "digest").agg(F.sort_array(F.collect_list("start")).alias("starts"))
+    first = F.filter("starts", lambda x, k: F.coalesce(F.get("starts", k - 1) != x - 1, F.lit(True)))
+    last = F.filter("starts", lambda x, k: F.coalesce(F.get("starts", k + 1) != x + 1, F.lit(True)))
+    return starts.select("anchor", "digest", F.zip_with(first, last, lambda a, z: F.struct(a.alias("first"), z.alias("last"))).alias("runs"))
 
 
 def _texts_of(reps: DataFrame, rows: DataFrame, length: int) -> DataFrame:

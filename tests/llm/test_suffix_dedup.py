@@ -101,6 +101,19 @@ def test_repeated_rows_null_ids_and_more_columns(spark):
     assert [r.n_removed for r in sd.without_repeats(names, 30, "name", "body").collect()] == [len(long)] * 2
 
 
+def test_counted_starts_that_follow_each_other_are_one_run(spark):
+    rng = random.Random(9)
+    said = "".join(rng.choice("abcdefgh") for _ in range(60))
+    texts = [f"{k:03d}{said}{k:03d}" for k in range(40)] + [f"x{said}y"] * 30 + [said[:30] + "-" + said[:30]]
+    rows = docs(spark, texts).select("text", F.col("doc_id").alias("t1"), F.lit(0).cast("long").alias("t2"))
+
+    def spans(most):
+        return {r.t1: sorted(tuple(s) for s in r.spans) for r in sd.repeated_spans(rows, 20, most).collect()}
+
+    # A row of each start and copy would be carried back to the texts otherwise.
+    assert spans(1) == spans(None)
+
+
 def test_spans_and_kept_bytes(spark):
     passage = "".join(chr(97 + k * 7 % 26) for k in range(60))
     got = {r.doc_id: r for r in sd.without_repeats(docs(spark, ["é" + passage + "!", "?" + passage, "none"]), length=50).collect()}
