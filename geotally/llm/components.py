@@ -11,7 +11,8 @@ from geotally.llm.common import written
 def _nearest(links: DataFrame) -> DataFrame:
     """Every (u, v) with the smallest v of its u; hot nodes are counted before the shuffle and split in the join."""
     least = links.groupBy("u").agg(F.min("v").alias("least"))
-    return links.join(least, "u")
+    # Both sides are exchanged before their sizes are known; a broadcast after that in each of many rounds would add up in the driver.
+    return links.join(least.hint("merge"), "u")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

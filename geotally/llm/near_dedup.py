@@ -14,7 +14,6 @@ hash bound what two sets can share, so that whole sets are made and compared onl
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -175,7 +174,7 @@ def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scr
         for b in _some(batches):
             yield pd.DataFrame({"id": b["id"], "shingles": [shingle_set(t, words) for t in b["text"]]})
 
-    tagged, links = shared.withColumn("comp", F.col("id")), []
+    tagged, known = shared.withColumn("comp", F.col("id")), None
     for k in range(LEADER_ROUNDS + 1):
         other = tagged
         if k < LEADER_ROUNDS:
@@ -186,8 +185,10 @@ def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scr
         needed = classes.join(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "id", "left_semi")
         texts = rows.join(needed.select("id", *KEYS), KEYS).select("id", "text")
         sets = scratch.written(texts.mapInPandas(each, "id long, shingles array<long>"), "sets")
-        links.append(scratch.written(verified(pairs, sets, least), "links"))
-        comps = components(reduce(DataFrame.union, links))
+        links = scratch.written(verified(pairs, sets, least), "links")
+        # The components so far stand for the links found so far: a round has only to bring in what is new.
+        comps = components(links if known is None else known.union(links))
+        known = comps.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
         if k < LEADER_ROUNDS:
             moved = comps.withColumnRenamed("id", "_id")
             joined = shared.join(moved, F.col("id") == F.col("_id"), "left")

@@ -106,3 +106,16 @@ def test_components_of_path_star_and_ring(spark):
     links = spark.createDataFrame([*path, *star, *ring, (7, 7), (None, 3)], "a long, b long")
     got = dict(components(links).collect())
     assert got == {k: 0 for k in range(41)} | {100 + k: 100 for k in range(300)} | {500 + k: 500 for k in range(17)}
+
+
+def test_rounds_of_components_broadcast_nothing(spark):
+    from geotally.llm import components as stars
+
+    links = spark.createDataFrame([(k, k // 3) for k in range(1, 60)], "u long, v long")
+    found = stars._small_star(stars._large_star(links))
+    assert found.count() > 0
+    rows = found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert rows and "SortMergeJoin" in final and "Broadcast" not in final
+    whole = stars.components(links.withColumnsRenamed({"u": "a", "v": "b"}))
+    assert {(r.id, r.component_id) for r in whole.collect()} == {(k, 0) for k in range(60)}
