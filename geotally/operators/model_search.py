@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 from operator import add
 
 import numpy as np
@@ -20,11 +21,14 @@ from pyspark.ml.base import Estimator, Model
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from geotally.operators import forecast as fc
 from geotally.operators.forecast import KEPT, ForecastSettings, Series
 
 TREND, STACK = "trend", "stack"
+#: Models of a fold that are fitted side by side; each keeps its own copy of the rows in bins meanwhile.
+FITS_AT_ONCE = 3
 
 
 @dataclass(frozen=True)
@@ -252,6 +256,15 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+def _fits(estimators: Sequence[Estimator], train: DataFrame) -> list[Model]:
+    """Models fitted on ``train``, ``FITS_AT_ONCE`` at a time, in the order of ``estimators``.
+
+    A fit is a chain of short jobs; those of another one fill the cores that its last tasks leave idle.
+    """
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        return pool.map(inheritable_thread_target(train.sparkSession)(lambda e: e.fit(train)), estimators, chunksize=1)
+
+
 def _fold_sums(rows: DataFrame, cells: DataFrame, series: Series, tried: Sequence[Candidate], fold: int, seed: int) -> FoldSums:
     """Fit all models on the rows before ``fold`` and add up their predictions of its rows."""
     means = fc.category_means(cells.where(F.col("_segment") < fold), series)
@@ -259,10 +272,11 @@ def _fold_sums(rows: DataFrame, cells: DataFrame, series: Series, tried: Sequenc
     outputs = ["_trend", *(f"_p{i}" for i in range(1, len(tried)))]
     encoded = fc._assemble(fc.encode_categories(tested.drop("_fold"), means), series, series.date)
     with _kept(fc._vectors(earlier.drop("_trend"), means, series)) as train, _kept(encoded.select("_features", series.label, "_trend")) as test:
+        n_train = train.count()  # keeps the rows before several fits read them
         scored = test
-        for output, c in zip(outputs[1:], tried[1:], strict=True):
-            scored = c.estimator(series.label, output, seed).fit(train).transform(scored)
-        return _sums(scored, series.label, outputs, train.count())
+        for model in _fits([c.estimator(series.label, output, seed) for output, c in zip(outputs[1:], tried[1:], strict=True)], train):
+            scored = model.transform(scored)
+        return _sums(scored, series.label, outputs, n_train)
 
 
 def _with_trend(rows: DataFrame, series: Series, n_folds: int) -> DataFrame:
@@ -306,9 +320,9 @@ def fitted(rows: DataFrame, series: Series, found: Search, means: fc.CategoryMea
     """(weight, model fitted on all rows) of what the leader is made of; the trend has no model."""
     chosen = [(w, c) for w, c in zip(found.leader_weights, found.candidates, strict=True) if w > 0]
     with _kept(fc._vectors(rows, means, series)) as train:
-        return [
-            (float(w), None if c.model == TREND else c.estimator(series.label, f"_p{k}", seed).fit(train)) for k, (w, c) in enumerate(chosen)
-        ]
+        train.count()
+        models = iter(_fits([c.estimator(series.label, f"_p{k}", seed) for k, (_, c) in enumerate(chosen) if c.model != TREND], train))
+        return [(float(w), None if c.model == TREND else next(models)) for w, c in chosen]
 
 
 def forecast_by_search(

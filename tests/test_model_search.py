@@ -141,3 +141,20 @@ def test_what_cannot_be_searched(spark):
         ms.folds(table(spark).withColumn("volume", F.lit(None).cast("double")), SERIES)
     with pytest.raises(ValueError, match="models are"):
         ms.SearchSettings(grid={"deep": ({},)})
+
+
+def test_fits_run_side_by_side_and_keep_their_order(spark):
+    import threading
+
+    all_here = threading.Barrier(ms.FITS_AT_ONCE)
+
+    class Fake:
+        def __init__(self, name):
+            self.name = name
+
+        def fit(self, train):
+            all_here.wait(20)  # breaks unless so many fits run at once
+            return self.name
+
+    names = [*range(2 * ms.FITS_AT_ONCE)]
+    assert ms._fits([Fake(n) for n in names], spark.range(1)) == names
