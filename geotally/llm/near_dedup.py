@@ -7,8 +7,9 @@ hash values are enough; they are counted in one exchange.
 Open texts with equal sets are one class, and only classes are compared. What the fingerprints miss is found by prefixes: in any one
 order of all shingles, two alike sets share one among the first n - ceil(least n) + 1 of each, and no earlier one of either; rare
 shingles come first, so few sets share any. Links are looked for between components only, at first with one class of each shared
-shingle, so a dense group gives fewer of its pairs; those of classes that are still apart are all compared. Counts of shingles by
-hash bound what two sets can share, so that whole sets are made and compared only where that is enough.
+shingle, then with a few, so a dense group gives fewer of its pairs; those of classes that are still apart are all compared. Parities
+of the counts of shingles by hash bound what two sets can share within the join, and the counts themselves after it, so that few
+pairs leave it and whole sets are made and compared only where that is enough.
 """
 
 from __future__ import annotations
@@ -32,11 +33,14 @@ COUNTED_SHARE = 0.35
 #: Documents from which the order of the shingles is estimated, and frequent shingles that it tells apart. Any order gives
 #: the same result; a good one gives few candidates.
 SAMPLE_DOCS, FREQUENT = 20_000, 200_000
-#: Rounds in which the classes of a shared shingle are compared with one of them, the same one for many shingles; the last
-#: comparison, of all that are still apart, makes the result whole.
-LEADER_ROUNDS = 2
+#: Rounds in which the classes of a shared shingle are compared with so many of them: first with one, the same one for many
+#: shingles, then with others for each shingle. The last comparison, of all that are still apart, makes the result whole.
+LEADERS = [1, 8]
 #: Parts of a set, by hash, whose sizes are kept.
 PARTS_LOG = 7
+#: Words of 64 bits in the parities of a set: one bit for each part, by hash, set if the part has an odd number of shingles.
+ODD_WORDS = 4
+ODD = [f"odd{k}" for k in range(ODD_WORDS)]
 #: Documents that a task works on at once.
 AT_ONCE = 500
 #: Rounding of similarities.
@@ -94,10 +98,16 @@ def frequent(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return got["key"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
 
+def parities(x: np.ndarray) -> np.ndarray:
+    """Parities of the parts of the set ``x`` by hash, as ``ODD_WORDS`` longs. Two sets differ in at least as many shingles as parities."""
+    counts = np.bincount(x & (64 * ODD_WORDS - 1), minlength=64 * ODD_WORDS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def signatures(rows: DataFrame, words: int, least: float) -> DataFrame:
-    """(t1, t2, t3, c1, c2, fp, n, sizes, prefix) of ``rows`` (t1, t2, t3, text).
+    """(t1, t2, t3, c1, c2, fp, n, sizes, prefix, odd0, ...) of ``rows`` (t1, t2, t3, text).
 
-    These are digest and size of the shingle set, fingerprint, sizes of the set's parts by hash, and its first shingles.
+    These are digest and size of the shingle set, fingerprint, sizes of the set's parts by hash, its first shingles, and parities.
     """
     sent = rows.sparkSession.sparkContext.broadcast(frequent(rows, words))
 
@@ -115,11 +125,12 @@ def signatures(rows: DataFrame, words: int, least: float) -> DataFrame:
                     x = x[np.lexsort((x, np.where(keys[at] == x, counts[at], 0)))]
                 first = x[: len(x) - ceil(least * len(x) - SLACK) + 1]
                 halves = [int(h) - (1 << 63) for h in (digest >> 64, digest & (1 << 64) - 1)]
-                out.append((*halves, simhash.fingerprint_of(hashes), len(x), sizes.astype(np.int32), first))
-            found = pd.DataFrame(out, columns=["c1", "c2", "fp", "n", "sizes", "prefix"])
+                out.append((*halves, simhash.fingerprint_of(hashes), len(x), sizes.astype(np.int32), first, *parities(x)))
+            found = pd.DataFrame(out, columns=["c1", "c2", "fp", "n", "sizes", "prefix", *ODD])
             yield pd.concat([b[["t1", "t2", "t3"]].reset_index(drop=True), found], axis=1)
 
-    return rows.mapInPandas(each, "t1 long, t2 long, t3 long, c1 long, c2 long, fp long, n int, sizes array<int>, prefix array<long>")
+    odd = "".join(f", {c} long" for c in ODD)
+    return rows.mapInPandas(each, f"t1 long, t2 long, t3 long, c1 long, c2 long, fp long, n int, sizes array<int>, prefix array<long>{odd}")
 
 
 def _both(pairs: DataFrame, of_class: DataFrame, column: str) -> DataFrame:
@@ -146,10 +157,17 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _candidates(one: DataFrame, two: DataFrame, least: float) -> DataFrame:
-    """(a, b) of each two classes of different components that share a shingle so early that they can be alike."""
-    two = two.select("key", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "comp")))
+    """(a, b) of each two classes of different components that share a shingle so early that they can be alike.
+
+    Where both sides have parities, pairs that differ in too many of them do not leave the join.
+    """
+    odd = [c for c in ODD if c in one.columns and c in two.columns]
+    two = two.select("key", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "pos", "comp", *odd)))
     need = least / (1 + least) * (F.col("n") + F.col("n2")) - SLACK
     fits = (F.col("n") - F.col("pos") >= need) & (F.col("n2") - F.col("pos2") >= need)
+    if odd:
+        differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}2"))) for c in odd), F.lit(0))
+        fits = fits & (differ <= F.col("n") + F.col("n2") - 2 * need)
     sizes = F.least("n", "n2") >= least * F.greatest("n", "n2") - SLACK
     found = one.join(two, "key").where((F.col("comp") != F.col("comp2")) & fits & sizes)
     return found.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
@@ -158,14 +176,14 @@ def _candidates(one: DataFrame, two: DataFrame, least: float) -> DataFrame:
 def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scratch: Scratch, words: int, radius: int, least: float) -> DataFrame:
     """(id, component_id) of each class that is linked to another.
 
-    ``classes`` (id, t1, t2, t3, fp) name one text of each; ``marked`` (t1, t2, t3, n, sizes, prefix) has the signatures of texts, ``rows``
+    ``classes`` (id, t1, t2, t3, fp) name one text of each; ``marked`` (t1, t2, t3, n, sizes, prefix, odd0, ...) has the signatures of texts, ``rows``
     (t1, t2, t3, text) the texts. Two classes are linked if the Jaccard similarity of their sets is ``least`` or more, and
     components are all that links reach. ``radius`` decides only which links the fingerprints find.
     """
     named = simhash.fingerprint_components(classes.select("id", "fp"), radius).withColumnRenamed("fp", "class_fp")
     near = classes.join(named, classes.fp == named.class_fp).select(F.col("comp").alias("a"), F.col("id").alias("b")).where("a != b")
     own = classes.select("id", *KEYS).join(marked, KEYS)
-    sizes = scratch.written(own.select("id", "sizes"), "sizes")
+    sizes = scratch.written(own.select("id", "sizes", *ODD), "sizes")
     early = own.select("id", "n", F.posexplode("prefix").alias("pos", "key"))
     often = scratch.written(early.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1").select("key"), "often")
     shared = scratch.written(early.join(often, "key", "left_semi"), "shared")
@@ -175,11 +193,15 @@ def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scr
             yield pd.DataFrame({"id": b["id"], "shingles": [shingle_set(t, words) for t in b["text"]]})
 
     tagged, known = shared.withColumn("comp", F.col("id")), None
-    for k in range(LEADER_ROUNDS + 1):
+    for k, leaders in enumerate([*LEADERS, None]):
         other = tagged
-        if k < LEADER_ROUNDS:
-            leader = F.min_by(F.struct("id", "n", "pos", "comp"), F.xxhash64("id", F.lit(k)))
-            other = tagged.groupBy("key").agg(leader.alias("leader")).select("key", "leader.*")
+        if leaders:
+            # A class with the shingle too late for another of its size would find few.
+            late = F.col("pos") > (1 - least) / (1 + least) * F.col("n")
+            drawn = F.xxhash64("id", F.col("key") if k else F.lit(0))
+            # The rank is cut before the exchange, so a shingle of any number of classes gives few rows of each task.
+            order = Window.partitionBy("key").orderBy(late, drawn, "id")
+            other = tagged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders).drop("rank")
         found = _candidates(tagged, other, least)
         pairs = scratch.written(possible(found if k else found.union(near).distinct(), sizes, least), "pairs")
         needed = classes.join(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "id", "left_semi")
@@ -189,10 +211,10 @@ def class_components(rows: DataFrame, classes: DataFrame, marked: DataFrame, scr
         # The components so far stand for the links found so far: a round has only to bring in what is new.
         comps = components(links if known is None else known.union(links))
         known = comps.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
-        if k < LEADER_ROUNDS:
+        if leaders:
             moved = comps.withColumnRenamed("id", "_id")
-            joined = shared.join(moved, F.col("id") == F.col("_id"), "left")
-            tagged = scratch.written(joined.select("key", "id", "n", "pos", F.coalesce("component_id", "id").alias("comp")), "tagged")
+            joined = shared.join(moved, F.col("id") == F.col("_id"), "left").join(sizes.select("id", *ODD).distinct(), "id")
+            tagged = scratch.written(joined.select("key", "id", "n", "pos", F.coalesce("component_id", "id").alias("comp"), *ODD), "tagged")
     return comps
 
 
@@ -215,7 +237,7 @@ def without_near_duplicates(docs: DataFrame, words: int, radius: int, least: flo
     one = F.min(F.struct(*KEYS, "fp")).alias("one")
     grouped = marked.groupBy("c1", "c2").agg(one, F.count(F.lit(1)).alias("n_rows"))
     classes = scratch.written(grouped.select(F.monotonically_increasing_id().alias("id"), "c1", "c2", "n_rows", "one.*"), "classes")
-    comps = class_components(rows, classes, marked.select(*KEYS, "n", "sizes", "prefix"), scratch, words, radius, least)
+    comps = class_components(rows, classes, marked.select(*KEYS, "n", "sizes", "prefix", *ODD), scratch, words, radius, least)
     found = classes.join(comps.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
     many = found.where("component_id IS NOT NULL OR n_rows > 1").select("c1", "c2", F.coalesce("component_id", "id").alias("comp"))
     members = marked.select("t1", "t2", "c1", "c2").join(many, ["c1", "c2"]).select(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
+from geotally.llm import near_dedup
 from geotally.llm.common import table
 from geotally.llm.near_dedup import without_near_duplicates
 from tests.conftest import DATA
@@ -93,6 +94,32 @@ def test_many_copies_of_one_set_and_of_one_row(spark):
     assert sorted(r.doc_id for r in without_near_duplicates(twice, 5, 3, 0.8).collect()) == sorted(brute(texts))
 
 
+def test_a_dense_group_without_links_gives_few_pairs(spark, monkeypatch):
+    rng, made, candidates = random.Random(6), [], near_dedup._candidates
+
+    def counted(*args):
+        made.append(candidates(*args))
+        return made[-1]
+
+    monkeypatch.setattr(near_dedup, "_candidates", counted)
+    monkeypatch.setattr(near_dedup.Scratch, "clear", lambda self: None)
+    base = [f"g{k}" for k in range(150)]
+    texts = [edited(rng, base, rng.choice([1, 2, 3, 3, 3, 3])) for _ in range(200)]
+    assert {r.doc_id for r in without_near_duplicates(docs(spark, texts), 5, 3, 0.8).collect()} == brute(texts)
+    assert sum(m.count() for m in made) < 10 * len(texts)
+
+
+@pytest.mark.parametrize("size", [1, 90, 3000])
+def test_parities_differ_in_no_more_than_sets(size):
+    rng = random.Random(size)
+    for edits in (0, 1, size // 9, size):
+        a = near_dedup.shingle_set(" ".join(f"w{rng.randrange(10**9)}" for _ in range(size)), 1)
+        b = near_dedup.shingle_set(" ".join(f"v{rng.randrange(10**9)}" for _ in range(edits)), 1)
+        c = near_dedup.np.union1d(a[edits // 2 :], b)
+        bits = sum(int(x ^ y).bit_count() for x, y in zip(near_dedup.parities(a).view("<u8"), near_dedup.parities(c).view("<u8"), strict=True))
+        assert bits <= len(near_dedup.np.setxor1d(a, c)) and (edits == 0) == (bits == 0)
+
+
 def test_tables_on_the_way_are_removed(spark):
     from pathlib import Path
 
